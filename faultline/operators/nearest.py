@@ -32,7 +32,7 @@ from .hotkeys import BROADCAST_BYTES, HOT_ROWS, salted_join
 
 CELL = ["face", "i", "j"]
 SITE = ["site_id", "site_lat", "site_lon", "_sx", "_sy", "_sz"]
-SEED_PAIRS = 50_000_000
+SEED_PAIRS = 200_000_000
 # Sites whose distances differ by less than this many radians (6 m) both stay
 # candidates; wider than rounding and than the 1e-6 km used to break ties.
 _MARGIN = 1e-9
@@ -50,28 +50,33 @@ class SiteIndex:
 
 
 def _prune(pairs: DataFrame, level: int, k: int, cells: int) -> DataFrame:
-    """Drops (cell, site) pairs where k sites are nearer all over the cell.
+    """Drops (cell, site) pairs with k sites nearer all over the cell.
 
-    With r nearer the centre c, every point p of the cell is nearer to r than to
-    s when p.(r - s) > 0 over the whole cap of radius h around c, that is when
-    (c.v) cos h - |v - (c.v) c| sin h > 0 for v = r - s. ``cells`` bounds the
-    number of cells, hence the size of the rivals.
+    The nearest of each of k groups of sites makes k sites within some angle of
+    the centre, so sites more than 2 h beyond that are out, h being the cell's
+    half angle. Hash aggregation without a sort. ``cells`` bounds the number of
+    cells, hence what is broadcast.
     """
-    few = F.broadcast if cells * k * 96 <= BROADCAST_BYTES else lambda df: df
-    h = half_angle(level)
     pairs = pairs.selectExpr("*", *[f"{c} AS _c{a}" for c, a in zip(centre(level), "xyz")])
     pairs = pairs.selectExpr("*", f"{dot('_c', '_s')} AS _dot")
-    # First a cheap test. The nearest of each of k groups makes k sites within
-    # some angle of c, so sites more than 2 h beyond it are out. Hash
-    # aggregation without a sort; 1e-7 covers rounding in acos.
-    reach = f"cos(least(acos(least(min(_top), 1D)) + {2 * h + 1e-7!r}D, pi()))"
-    floor = (
-        pairs.groupBy(*CELL, F.expr(f"pmod(xxhash64(site_id), {k})").alias("_group"))
-        .agg(F.max("_dot").alias("_top"))
-        .groupBy(*CELL)
-        .agg(F.expr(f"if(count(*) = {k}, {reach}, -2D)").alias("_floor"))
-    )
-    pairs = pairs.join(few(floor), CELL).filter("_dot >= _floor").drop("_floor")
+    top = pairs.groupBy(*CELL, *([F.expr(f"pmod(xxhash64(site_id), {k})")] if k > 1 else []))
+    top = top.agg(F.max("_dot").alias("_top"))
+    if k > 1:
+        top = top.groupBy(*CELL).agg(F.expr(f"if(count(*) = {k}, min(_top), -1D)").alias("_top"))
+    # 1e-7 covers rounding in acos.
+    reach = f"least(acos(least(_top, 1D)) + {2 * half_angle(level) + 1e-7!r}D, pi())"
+    floor = top.selectExpr(*CELL, f"cos({reach}) - 1e-15D AS _floor")
+    return pairs.join(_few(floor, cells), CELL).filter("_dot >= _floor").drop("_floor")
+
+
+def _prune_dense(pairs: DataFrame, level: int, k: int, cells: int) -> DataFrame:
+    """The same with an exact test against the k sites nearest to the centre.
+
+    Far from a dense group of sites all of them are about equally far, yet most
+    lie behind others. With r nearer the centre c, every point p of the cell is
+    nearer to r than to s when p.(r - s) > 0 over the whole cap of radius h
+    around c, that is when (c.v) cos h - |v - (c.v) c| sin h > 0, v = r - s.
+    """
     w = Window.partitionBy(*CELL).orderBy(F.desc("_dot"), "site_id")
     rivals = (
         pairs.withColumn("_rn", F.row_number().over(w))
@@ -79,20 +84,25 @@ def _prune(pairs: DataFrame, level: int, k: int, cells: int) -> DataFrame:
         .groupBy(*CELL)
         .agg(F.collect_list(F.struct("_sx", "_sy", "_sz")).alias("_rivals"))
     )
+    h = half_angle(level)
     along = f"({dot('_c', 'r._s')} - _dot)"
     apart = f"({chord_squared('r._s', '_s')})"
     not_beaten = (
         f"exists(_rivals, r -> {along} * {math.cos(h)!r}D"
         f" - sqrt(greatest(0D, {apart} - {along} * {along})) * {math.sin(h)!r}D <= {_MARGIN}D)"
     )
-    return pairs.join(few(rivals), CELL).filter(not_beaten).select(*CELL, *SITE)
+    return pairs.join(_few(rivals, cells * k), CELL).filter(not_beaten)
+
+
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows * 96 <= BROADCAST_BYTES else df
 
 
 def _start_level(sites: int) -> int:
     """Level to start at: a few cells per site, within a budget of (cell, site)
     pairs and never below 24 cells."""
     cells = max(FACES, min(8 * sites, SEED_PAIRS // max(sites, 1)))
-    return max(1, math.floor(math.log2(cells / FACES) / 2))
+    return max(1, round(math.log2(cells / FACES) / 2))
 
 
 def _leaf_rows(pairs: DataFrame, level: int, n: Column, per_row: int) -> DataFrame:
@@ -107,7 +117,7 @@ def _leaf_rows(pairs: DataFrame, level: int, n: Column, per_row: int) -> DataFra
 
 
 def build_site_index(
-    sites: DataFrame, k: int = 1, per_cell: int = 16, path: str | None = None
+    sites: DataFrame, k: int = 1, per_cell: int = 24, path: str | None = None
 ) -> SiteIndex:
     """Candidate table for the ``k`` nearest sites (site_id, site_lat, site_lon).
 
@@ -117,24 +127,26 @@ def build_site_index(
     cells still too full; the driver sees their number only.
     """
     root = path or scratch_dir(sites.sparkSession)
+    points = sites.select("site_id", "site_lat", "site_lon").dropna(subset=["site_lat", "site_lon"])
+    points = points.filter(~F.isnan("site_lat") & ~F.isnan("site_lon"))
     # Of sites at one point only the k lowest ids can matter.
-    at = Window.partitionBy("site_lat", "site_lon").orderBy("site_id")
-    points = (
-        sites.select("site_id", "site_lat", "site_lon")
-        .filter(~F.isnan("site_lat") & ~F.isnan("site_lon"))
-        .dropna(subset=["site_lat", "site_lon"])
-        .withColumn("_rn", F.row_number().over(at))
-        .filter(F.col("_rn") <= k)
-        .drop("_rn")
-    )
+    if k == 1:
+        points = points.groupBy("site_lat", "site_lon").agg(F.min("site_id").alias("site_id"))
+    else:
+        at = Window.partitionBy("site_lat", "site_lon").orderBy("site_id")
+        points = points.withColumn("_rn", F.row_number().over(at)).filter(F.col("_rn") <= k).drop("_rn")
     # Spread out, as each point is about to become one row per cell.
     points = points.repartition(sites.sparkSession.sparkContext.defaultParallelism, "site_id")
     points = stage(with_unit_vector(points, "site_lat", "site_lon", "_s"), f"{root}/points")
     level = _start_level(points.count())
     pairs, cells = with_all_cells(points, level), FACES << 2 * level
     leaves, levels, size, split = None, [], 0, False
+    first = level
     while True:
-        kept = stage(_prune(pairs, level, k, cells), f"{root}/pairs-{level}")
+        kept = _prune(pairs, level, k, cells)
+        if level > first:
+            kept = _prune_dense(kept, level, k, cells)
+        kept = stage(kept.select(*CELL, *SITE), f"{root}/pairs-{level}")
         full = F.col("_n") > per_cell
         counts = kept.groupBy(*CELL).agg(
             F.count(F.lit(1)).alias("_n"),
