@@ -73,11 +73,12 @@ def with_all_cells(df: DataFrame, level: int) -> DataFrame:
     )
 
 
-def with_child_cells(df: DataFrame) -> DataFrame:
-    """Each row once per quarter of its cell."""
+def with_child_cells(df: DataFrame, levels: int = 1) -> DataFrame:
+    """Each row once per cell ``levels`` below its own."""
     rest = [c for c in df.columns if c not in ("i", "j")]
-    return df.selectExpr("*", "explode(sequence(0L, 3L)) AS _n").selectExpr(
-        *rest, "i * 2 + _n div 2 AS i", "j * 2 + _n % 2 AS j"
+    side = 1 << levels
+    return df.selectExpr("*", f"explode(sequence(0L, {side * side - 1}L)) AS _n").selectExpr(
+        *rest, f"i * {side} + _n div {side} AS i", f"j * {side} + _n % {side} AS j"
     )
 
 
@@ -92,8 +93,8 @@ def with_cover(df: DataFrame, prefix: str, radius: float) -> DataFrame:
     """Each row once per cell that meets the cap of ``radius`` around its point.
 
     On a face the cap spans a range of angles in each direction; the cells of
-    that box are listed and those out of reach dropped. One narrow pass, about
-    ten cells a row at any radius. Adds ``cell``.
+    that box are listed and those out of reach dropped. One narrow pass, ten to
+    fifty cells a row at any radius. Adds ``cell``.
     """
     level = level_for_radius(radius)
     faces = ", ".join(
@@ -105,6 +106,7 @@ def with_cover(df: DataFrame, prefix: str, radius: float) -> DataFrame:
     # compute each one twice to filter on its size.
     out = (
         df.selectExpr("*", f"inline_outer(array({faces}))")
+        .filter(f"{_meets_face('_p', '_d', '_q', radius)} AND {_meets_face('_q', '_d', '_p', radius)}")
         .selectExpr("*", f"explode_outer({_steps('_p', '_d', '_q', radius, level)}) AS i")
         .selectExpr("*", f"explode_outer({_steps('_q', '_d', '_p', radius, level)}) AS j")
     )
@@ -116,23 +118,31 @@ def with_cover(df: DataFrame, prefix: str, radius: float) -> DataFrame:
     return out.select(*df.columns, pack(level).alias("cell"))
 
 
-def _steps(t: str, out: str, axis: str, radius: float, level: int) -> str:
-    """SQL for the cell numbers a cap spans along one direction of a face.
+def _spread(axis: str, radius: float) -> str:
+    """SQL for the angle a cap spans to each side, seen along ``axis``.
 
-    Seen along ``axis`` the cap's centre lies at the angle atan2(t, out) and the
-    cap spans asin(sin(radius) / cos(latitude over that axis)) to each side, or
-    everything if it holds the axis. A face spans 45 degrees to each side; a cap
-    beside it yields the border cell, which is then out of reach.
+    That is asin(sin(radius) / cos(latitude over the axis)), or everything if
+    the cap holds the axis.
     """
-    side = 1 << level
     if radius >= math.pi / 2:
-        return f"sequence(0L, {side - 1}L)"
+        return f"{math.pi!r}D"
     width = f"sqrt(greatest(0D, 1 - {axis} * {axis}))"
     reach = f"{math.sin(radius)!r}D"
-    spread = f"if({reach} < {width}, asin({reach} / {width}) + 1e-9D, {math.pi!r}D)"
+    return f"if({reach} < {width}, asin({reach} / {width}) + 1e-9D, {math.pi!r}D)"
+
+
+def _meets_face(t: str, out: str, axis: str, radius: float) -> str:
+    """A face spans 45 degrees to each side, the cap's centre lies at atan2(t, out)."""
+    return f"abs(atan2({t}, {out})) <= pi() / 4 + {_spread(axis, radius)}"
+
+
+def _steps(t: str, out: str, axis: str, radius: float, level: int) -> str:
+    """SQL for the cell numbers a cap spans along one direction of a face it meets."""
+    side = 1 << level
 
     def step(sign: str) -> str:
-        angle = f"greatest(least(atan2({t}, {out}) {sign} {spread}, pi() / 4), -pi() / 4)"
+        angle = f"atan2({t}, {out}) {sign} {_spread(axis, radius)}"
+        angle = f"greatest(least({angle}, pi() / 4), -pi() / 4)"
         n = f"floor((tan({angle}) + 1) * {side / 2}D)"
         return f"greatest(0L, least({n}, {side - 1}L))"
 

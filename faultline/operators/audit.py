@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,9 +87,9 @@ def audit_tables(
             df = read_table(spark, path, fmt)
             row = audit_frame(df, name, (columns or {}).get(name), minutes, now).first()
             rows.append(tuple(row))
-        except PySparkException as error:
-            missing = error.getCondition() == "PATH_NOT_FOUND"
-            note = "table does not exist" if missing else f"unreadable: {error.getCondition()}"
+        except (PySparkException, Py4JJavaError) as error:
+            why = error.getCondition() if isinstance(error, PySparkException) else None
+            note = "table does not exist" if why == "PATH_NOT_FOUND" else f"unreadable: {why or 'read error'}"
             rows.append((name, None, None, "FAILED", note))
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 

@@ -33,6 +33,7 @@ from .hotkeys import BROADCAST_BYTES, HOT_ROWS, salted_join
 CELL = ["face", "i", "j"]
 SITE = ["site_id", "site_lat", "site_lon", "_sx", "_sy", "_sz"]
 SEED_PAIRS = 200_000_000
+ROW_SITES = 4096
 # Sites whose distances differ by less than this many radians (6 m) both stay
 # candidates; wider than rounding and than the 1e-6 km used to break ties.
 _MARGIN = 1e-9
@@ -106,7 +107,7 @@ def _start_level(sites: int) -> int:
 
 
 def _leaf_rows(pairs: DataFrame, level: int, n: Column, per_row: int) -> DataFrame:
-    # Only the deepest cells can exceed per_row; their candidates go to several rows.
+    # Candidates of a cell with more than per_row are dealt out over several rows.
     chunk = F.pmod(F.xxhash64(*SITE), F.greatest(F.lit(1), F.ceil(n / per_row)))
     return (
         pairs.withColumn("cell", pack(level))
@@ -117,15 +118,23 @@ def _leaf_rows(pairs: DataFrame, level: int, n: Column, per_row: int) -> DataFra
 
 
 def build_site_index(
-    sites: DataFrame, k: int = 1, per_cell: int = 24, path: str | None = None
+    sites: DataFrame,
+    k: int = 1,
+    per_cell: int | None = None,
+    per_row: int = ROW_SITES,
+    path: str | None = None,
 ) -> SiteIndex:
     """Candidate table for the ``k`` nearest sites (site_id, site_lat, site_lon).
 
     Starts from coarse cells and quarters those with more than ``per_cell``
     candidates; children inherit only their parent's. Dense areas get small
     cells, empty ones stay coarse. Each round is a distributed job over the
-    cells still too full; the driver sees their number only.
+    cells still too full; the driver sees counts only. Cells that stay full, as
+    around a point that many sites are equally far from, are left at the deepest
+    level, or earlier once they multiply; they keep all their candidates,
+    ``per_row`` to a row.
     """
+    per_cell = per_cell or 16 + 8 * k
     root = path or scratch_dir(sites.sparkSession)
     points = sites.select("site_id", "site_lat", "site_lon").dropna(subset=["site_lat", "site_lon"])
     points = points.filter(~F.isnan("site_lat") & ~F.isnan("site_lon"))
@@ -138,42 +147,49 @@ def build_site_index(
     # Spread out, as each point is about to become one row per cell.
     points = points.repartition(sites.sparkSession.sparkContext.defaultParallelism, "site_id")
     points = stage(with_unit_vector(points, "site_lat", "site_lon", "_s"), f"{root}/points")
-    level = _start_level(points.count())
+    n = points.count()
+    level = _start_level(n)
     pairs, cells = with_all_cells(points, level), FACES << 2 * level
     leaves, levels, size, split = None, [], 0, False
-    first = level
+    first, fullness = level, math.inf
+    full = F.col("_n") > per_cell
     while True:
         kept = _prune(pairs, level, k, cells)
         if level > first:
             kept = _prune_dense(kept, level, k, cells)
         kept = stage(kept.select(*CELL, *SITE), f"{root}/pairs-{level}")
-        full = F.col("_n") > per_cell
         counts = kept.groupBy(*CELL).agg(
             F.count(F.lit(1)).alias("_n"),
             F.sum(F.octet_length(F.col("site_id").cast("string")) + 96).alias("_bytes"),
         )
-        done = level == MAX_LEVEL
-        left, here, here_bytes = counts.agg(
-            F.count_if(full),
-            F.count_if(~full | F.lit(done)),
-            F.sum(F.when(~full | F.lit(done), F.col("_bytes") + 64)),
+        seen = counts.agg(
+            F.count(F.lit(1)).alias("cells"),
+            F.count_if(full).alias("full"),
+            F.coalesce(F.sum(F.when(full, F.col("_n"))), F.lit(0)).alias("pairs"),
+            F.coalesce(F.max("_n"), F.lit(0)).alias("most"),
+            F.sum(F.col("_bytes") + 64).alias("bytes"),
+            F.sum(F.when(~full, F.col("_bytes") + 64)).alias("leaf_bytes"),
         ).first()
-        if left and not done:
-            kept_n = kept.join(counts.drop("_bytes"), CELL)
-            leaf, rest = kept_n.filter(~full).drop("_n"), kept_n.filter(full).drop("_n")
-        else:
-            leaf, rest = kept, None
-        if here:
-            # One chunk a cell unless the deepest level is still too full.
-            deep = bool(left) and done
-            n = F.col("_n") if deep else F.lit(1)
-            leaf = leaf.join(counts.drop("_bytes"), CELL) if deep else leaf
-            rows = stage(_leaf_rows(leaf, level, n, per_cell), f"{root}/cells-{level}")
+        stuck = seen.pairs > 0.8 * fullness * seen.full
+        last = not seen.full or level == MAX_LEVEL or (stuck and seen.pairs > 64 * n)
+        leaf, rest = kept, None
+        if not last:
+            counted = kept.join(counts.drop("_bytes"), CELL)
+            leaf, rest = counted.filter(~full).drop("_n"), counted.filter(full).drop("_n")
+        if seen.cells > (0 if last else seen.full):
+            crowded = last and seen.most > per_row
+            if crowded:
+                leaf, split = kept.join(counts.drop("_bytes"), CELL), True
+            rows = _leaf_rows(leaf, level, F.col("_n") if crowded else F.lit(1), per_row)
+            rows = stage(rows, f"{root}/cells-{level}")
             leaves = rows if leaves is None else leaves.unionByName(rows)
-            levels, size, split = [*levels, level], size + here_bytes, split or deep
-        if rest is None:
+            levels, size = [*levels, level], size + (seen.bytes if last else seen.leaf_bytes)
+        if last:
             break
-        pairs, cells, level = with_child_cells(rest), 4 * left, level + 1
+        # Nothing gained by the last step: take a longer one.
+        step = 3 if stuck and seen.pairs << 6 <= SEED_PAIRS and level + 3 <= MAX_LEVEL else 1
+        pairs, cells, level = with_child_cells(rest, step), seen.full << 2 * step, level + step
+        fullness = seen.pairs / seen.full
     if leaves is None:
         leaves, levels = _leaf_rows(points.withColumns({c: F.lit(0) for c in CELL}), 0, F.lit(1), 1), [0]
     return SiteIndex(leaves, tuple(levels), k, size, split)
