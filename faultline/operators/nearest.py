@@ -186,8 +186,9 @@ def build_site_index(
             levels, size = [*levels, level], size + (seen.bytes if last else seen.leaf_bytes)
         if last:
             break
-        # Nothing gained by the last step: take a longer one.
-        step = 3 if stuck and seen.pairs << 6 <= SEED_PAIRS and level + 3 <= MAX_LEVEL else 1
+        # Few pairs left, or nothing gained by the last step: take a longer one.
+        room = SEED_PAIRS if stuck else SEED_PAIRS // 100
+        step = 3 if seen.pairs << 6 <= room and level + 3 <= MAX_LEVEL else 1
         pairs, cells, level = with_child_cells(rest, step), seen.full << 2 * step, level + step
         fullness = seen.pairs / seen.full
     if leaves is None:

@@ -16,9 +16,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table, dealt out over the cores when it comes in fewer splits
+    than there are cores. A table of many files is left as it is."""
+    df = table(spark, sf, "events")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, "event_id")
+
+
 def quakes(spark: SparkSession, sf: str) -> DataFrame:
     return (
-        table(spark, sf, "events")
+        events(spark, sf)
         .withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
         .selectExpr(
             "event_id",
@@ -136,7 +144,7 @@ def faulty_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def station_messages(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON station message per row in ``value``, with its arrival time."""
-    q = table(spark, sf, "events").withColumn("day", F.date_trunc("day", "ts").cast("string"))
+    q = events(spark, sf).withColumn("day", F.date_trunc("day", "ts").cast("string"))
     message = F.expr(
         """named_struct(
             'type', if(event_id % 11 = 0, 'heartbeat', 'reading'), 'region', event_type,
