@@ -23,6 +23,16 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
+def once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Adds a costly column computed once per row.
+
+    As a plain column it would be copied into every filter that Spark moves
+    below it, so a message would be parsed once per condition. (Outer, as Spark
+    filters on the size of other exploded arrays, which computes them again.)
+    """
+    return df.withColumn(name, F.explode_outer(F.array(column)))
+
+
 def _parsed(schema: T.StructType) -> Column:
     """``value`` under ``schema`` plus a field for the text of a bad record."""
     fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
@@ -39,10 +49,8 @@ def parse_events(raw: DataFrame, drop_null: bool = True) -> DataFrame:
     Only NULL and empty input parse to NULL; other bad input gives a message of
     NULLs that fails the later checks.
     """
-    parsed = raw.select(
-        F.col("value").cast("string").alias("json_string"),
-        _parsed(EVENT_MESSAGE).alias("message"),
-    )
+    parsed = once(raw.select(F.col("value").cast("string")), "message", _parsed(EVENT_MESSAGE))
+    parsed = parsed.select(F.col("value").alias("json_string"), "message")
     return parsed.filter(F.col("message").isNotNull()) if drop_null else parsed
 
 
@@ -89,9 +97,8 @@ def ingest_events(raw: DataFrame) -> DataFrame:
 
 def parse_stations(raw: DataFrame) -> DataFrame:
     """Parsed ``station`` message beside the arrival time."""
-    return raw.select(
-        _parsed(STATION_MESSAGE).alias("station"), F.col("timestamp").alias("kafka_timestamp")
-    ).filter(F.col("station").isNotNull())
+    parsed = once(raw, "station", _parsed(STATION_MESSAGE)).filter(F.col("station").isNotNull())
+    return parsed.select("station", F.col("timestamp").alias("kafka_timestamp"))
 
 
 def flatten_stations(parsed: DataFrame) -> DataFrame:

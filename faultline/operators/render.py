@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import format_ts, or_default, plain_number
+from .ingest import once
 
 # Property behind each shown field, and the CSV headers in order.
 _PROPERTIES = {
@@ -37,7 +38,7 @@ def _shown_fields(raw: DataFrame) -> DataFrame:
         text = F.try_element_at("_m.data.properties", F.lit(prop))
         return plain_number(text) if name in _NUMBERS else text
 
-    return raw.withColumn("_m", message).select(
+    return once(raw, "_m", message).select(
         F.col("_m.action").alias("action"),
         *[shown(n, p).alias(n) for n, p in _PROPERTIES.items()],
     )

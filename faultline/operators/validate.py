@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import valid_coords
 from ..functions.values import number
 from ..schemas import CORRUPT
+from .ingest import once
 
 # What the feeds must carry, in the order it is checked.
 EVENT_FIELDS = ("unid", "time", "lat", "lon", "mag")
@@ -53,7 +54,10 @@ def validate_events(raw: DataFrame) -> DataFrame:
         .when(F.col("_parsed.data").isNull(), "no_data")
         .when(props.isNull() | (F.cardinality(props) == 0), "empty_properties")
     )
-    return _finish(_text(raw).withColumn("_parsed", parsed), _field_reasons(start, props, EVENT_FIELDS, "lat", "lon"))
+    return _finish(
+        once(_text(raw), "_parsed", parsed),
+        _field_reasons(start, props, EVENT_FIELDS, "lat", "lon"),
+    )
 
 
 def validate_stations(raw: DataFrame) -> DataFrame:
@@ -67,7 +71,7 @@ def validate_stations(raw: DataFrame) -> DataFrame:
     )
     parsed = F.from_json("json_string", "map<string,string>")
     return _finish(
-        _text(raw).withColumn("_parsed", parsed),
+        once(_text(raw), "_parsed", parsed),
         _field_reasons(start, fields, STATION_FIELDS, "latitude", "longitude"),
     )
 
