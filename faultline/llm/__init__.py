@@ -1 +1,11 @@
-"""Operators for large training corpora; nothing else in the library imports them."""
+"""Operators for large training corpora; nothing else in the library imports them.
+
+Functions that run in Python workers travel by value, so executors need not have
+this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

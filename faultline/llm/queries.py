@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import documents
+from . import simhash, toxicity
+from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -22,11 +22,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
+def toxicity_chain(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Chain:
+    """Low quality first, then toxic, as far as ``labels`` says."""
+    labels = read(spark, sf, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity.fit(docs, labels, ["low_quality", "toxic"])
+
+
 @query
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     rows = simhash.near_duplicates(documents(spark, sf))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    return toxicity.score(docs, toxicity_chain(spark, docs, sf))
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
