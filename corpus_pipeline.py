@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import simhash
+from faultline.llm import simhash, toxicity
 from faultline.llm.common import documents, stage
+from faultline.llm.queries import toxicity_chain
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain calls toxic go."""
+    return toxicity.accepted(docs, toxicity_chain(spark, docs, sf_dir), "toxic")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +20,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 STAGES = [
+    ("toxicity", not_toxic),
     ("simhash_near_dedup", near_duplicates),
 ]
 
