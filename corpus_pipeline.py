@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import simhash, toxicity
-from faultline.llm.common import documents, stage
+from faultline.llm import decontaminate, simhash, toxicity
+from faultline.llm.common import documents, read, stage
 from faultline.llm.queries import toxicity_chain
 
 
@@ -19,9 +19,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.representatives(docs)
 
 
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that give a benchmark item away go."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("toxicity", not_toxic),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", without_benchmark),
 ]
 
 #: SimHash components, a trained classifier and a tokenizer are not SQL.
