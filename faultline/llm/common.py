@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, stage
 
-__all__ = ["documents", "fresh", "read", "scratch_dir", "stage", "staged_zstd", "text_hash"]
+__all__ = ["documents", "fresh", "positions", "read", "scratch_dir", "stage", "staged_zstd", "text_hash"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,3 +36,19 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def positions(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` with its place from 0 in the given total order as ``position``.
+
+    Rows are dealt out by range, counted per partition, and ranked inside; no task
+    sees more than a partition and one count for each.
+    """
+    part = F.spark_partition_id()
+    dealt = stage(df.repartitionByRange(*order).withColumn("_part", part))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    ranked = dealt.withColumn("_rank", rank).join(starts, "_part")
+    return ranked.withColumn("position", F.col("_start") + F.col("_rank")).drop("_part", "_start", "_rank")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash, toxicity
+from . import decontaminate, mixing, simhash, toxicity
 from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,5 +45,10 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, toxicity_chain(spark, docs, sf))
 
 
+@query
+def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf)).drop("text_hash")
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
