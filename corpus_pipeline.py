@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import decontaminate, simhash, toxicity
+from faultline.llm import decontaminate, mixing, simhash, toxicity
 from faultline.llm.common import documents, read, stage
 from faultline.llm.queries import toxicity_chain
 
@@ -24,10 +24,16 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
+def weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the target weights of the sources ask for."""
+    return mixing.mixed(docs)
+
+
 STAGES = [
     ("toxicity", not_toxic),
     ("simhash_near_dedup", near_duplicates),
     ("benchmark_decontamination", without_benchmark),
+    ("source_mixing", weighted),
 ]
 
 #: SimHash components, a trained classifier and a tokenizer are not SQL.
