@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash, toxicity
+from . import decontaminate, mixing, simhash, toxicity, training_order
 from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def toxicity_chain(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Ch
     return toxicity.fit(docs, labels, ["low_quality", "toxic"])
 
 
+@query
+def op2_training_order(spark: SparkSession, sf: str) -> DataFrame:
+    return training_order.training_order(documents(spark, sf))
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf), read(spark, sf, "benchmark")).drop("text_hash")
