@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import decontaminate, mixing, simhash, toxicity
+from faultline.llm import decontaminate, mixing, simhash, toxicity, training_order
 from faultline.llm.common import documents, read, stage
 from faultline.llm.queries import toxicity_chain
 
@@ -29,11 +29,17 @@ def weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids as fixed-stride records in training order."""
+    return training_order.training_order(docs)
+
+
 STAGES = [
     ("toxicity", not_toxic),
     ("simhash_near_dedup", near_duplicates),
     ("benchmark_decontamination", without_benchmark),
     ("source_mixing", weighted),
+    ("token_records", token_records),
 ]
 
 #: SimHash components, a trained classifier and a tokenizer are not SQL.
