@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash, toxicity, training_order
+from . import decontaminate, mixing, pii, simhash, toxicity, training_order
 from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,21 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf), read(spark, sf, "benchmark")).drop("text_hash")
 
 
+@query
+def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
+    def place(kind, s):
+        return F.concat_ws(":", kind, s["start"], s["end"])
+
+    found = pii.find(documents(spark, sf))
+    return found.select(
+        "doc_id",
+        *(F.size(k.name).cast("long").alias(f"n_{k.name}") for k in (*pii.BASE, *pii.ADDED)),
+        F.sha2(pii.listed(pii.BASE, place), 256).alias("base_sha256"),
+        pii.listed((*pii.BASE, *pii.ADDED), place).alias("spans"),
+        pii.listed((*pii.BASE, *pii.ADDED), lambda kind, s: F.concat_ws(":", kind, s["start"], s["score"])).alias("scores"),
+    )
+
+
 @query
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     rows = simhash.near_duplicates(documents(spark, sf))
