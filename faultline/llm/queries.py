@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii, simhash, toxicity, training_order
+from . import bitslices, decontaminate, mixing, pii, simhash, toxicity, training_order
 from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def toxicity_chain(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Ch
     return toxicity.fit(docs, labels, ["low_quality", "toxic"])
 
 
+@query
+def op1_bit_sliced_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bitslices.quantised(read(spark, sf, "embeddings"), "vec_id", "embedding")
+    return bitslices.top_k(rows, F.col("id") % 50 == 0, 5).withColumnRenamed("id", "vec_id")
+
+
 @query
 def op2_training_order(spark: SparkSession, sf: str) -> DataFrame:
     return training_order.training_order(documents(spark, sf))
@@ -70,5 +76,27 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf)).drop("text_hash")
 
 
+#: Brute force over all pairs of a query and another row.
+OP1_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank, vec_id, score
+FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_bit_sliced_top_k": OP1_SQL}
