@@ -30,7 +30,7 @@ CAP = 3
 #: Newton steps end at this relative residual, or after so many sweeps over the margins.
 CLOSE, SWEEPS = 1e-10, 200
 #: Rows of one source and size that are ranked in one group.
-RANKED_ROWS = 10_000
+RANKED_ROWS = 1000
 
 
 def words(text: str = "text") -> Column:
