@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslices, decontaminate, mixing, pii, simhash, toxicity, training_order
+from . import bitslices, decontaminate, licenses, mixing, pii, simhash, toxicity, training_order
 from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,11 @@ def op9_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf)).drop("text_hash")
 
 
+@query
+def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf)).drop("text_hash")
+
+
 #: Brute force over all pairs of a query and another row.
 OP1_SQL = """
 WITH usable AS (
