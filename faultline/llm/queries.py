@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslices, decontaminate, licenses, mixing, pii, simhash, toxicity, training_order
+from . import bitslices, decontaminate, licenses, lines, mixing, pii, simhash, toxicity, training_order, warc
 from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,12 +59,22 @@ def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.duplicates(documents(spark, sf))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     rows = simhash.near_duplicates(documents(spark, sf))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.derive(warc.responses(read(spark, sf, "pages")))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
