@@ -113,5 +113,63 @@ WHERE rank <= 5
 """
 
 
+def _sql_sha1(x: str) -> str:
+    sign = f"(CAST('0x' || substr(sha1({x}), 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31"
+    return (
+        f"'sha1:' || array_to_string(list_transform(range(32), lambda i: "
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ({sign}) AS BIGINT), 1)), '')"
+    )
+
+
+def _sql_id(*parts: str) -> str:
+    h = f"md5(concat_ws('|', {', '.join(parts)}))"
+    cuts = f"substr({h}, 1, 8), substr({h}, 9, 4), '8' || substr({h}, 14, 3), '8' || substr({h}, 18, 3), substr({h}, 21, 12)"
+    return f"'<urn:uuid:' || concat_ws('-', {cuts}) || '>'"
+
+
+def _sql_text(x: str) -> str:
+    steps = [(r"(?s)<!--.*?(?:-->|\z)", "''")]
+    steps += [(rf"(?is)<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)", "''") for t in warc.SILENT]
+    steps += [(rf"(?i)</?(?:{'|'.join(warc.BLOCKS)})\b[^>]*>", "chr(10)"), ("<[^<>]*>", "''")]
+    for pattern, by in steps:
+        x = f"regexp_replace({x}, '{pattern}', {by}, 'g')"
+    for name, sign in (*warc.REFERENCES, ("&amp;", "&")):
+        x = "replace({}, '{}', '{}')".format(x, name, sign.replace("'", "''"))
+    x = f"regexp_replace({x}, '[ \\t\\r\\f\\v]+', ' ', 'g')"
+    return f"trim(regexp_replace({x}, ' ?\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10))"
+
+
+#: The records of each page, written out field by field.
+OP7_SQL = f"""
+WITH pages_ AS (
+    SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS payload, chr(13) || chr(10) AS eol FROM pages
+),
+responses AS (
+    SELECT *, {_sql_id("'response'", "CAST(page_id AS VARCHAR)", "uri", "md5(payload)")} AS refers_to,
+           'HTTP/1.1 200 OK' || eol || 'Content-Type: text/html; charset=UTF-8' || eol || 'Content-Length: '
+               || strlen(payload) || eol || eol AS source_headers,
+           trim(regexp_replace(regexp_extract(payload, '(?is)<title[^>]*>([^<]*)', 1), '\\s+', ' ', 'g')) AS title,
+           regexp_extract(payload, '(?is)<html\\b[^>]*\\blang=["'']?([A-Za-z-]+)', 1) AS language,
+           regexp_extract_all(payload, '(?is)<a\\b[^>]*\\bhref=["'']([^"''<>]*)', 1) AS links,
+           {_sql_sha1("payload")} AS source_digest
+    FROM pages_
+),
+records AS (
+    SELECT *, 'metadata' AS type, '{warc.METADATA_TYPE}' AS content_type,
+           array_to_string(list_concat(
+               list_filter(['status: 200', 'content-type: text/html; charset=UTF-8',
+                            CASE WHEN title <> '' THEN 'title: ' || title END,
+                            CASE WHEN language <> '' THEN 'language: ' || language END], lambda x: x IS NOT NULL),
+               list_transform(links, lambda x: 'outlink: ' || x)), chr(13) || chr(10)) AS block
+    FROM responses
+    UNION ALL
+    SELECT *, 'conversion', '{warc.TEXT_TYPE}', {_sql_text("payload")} FROM responses
+)
+SELECT page_id, type, {_sql_id("type", "refers_to")} AS record_id, refers_to, uri, '{warc.EPOCH}' AS date, content_type,
+       CAST(strlen(block) AS BIGINT) AS length, {_sql_sha1("block")} AS block_digest, source_digest, source_headers, block
+FROM records
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_bit_sliced_top_k": OP1_SQL}
+    return {"op1_bit_sliced_top_k": OP1_SQL, "op7_warc_derivatives": OP7_SQL}

@@ -73,10 +73,13 @@ def responses(pages: DataFrame, date: str = EPOCH) -> DataFrame:
 
 
 def text_of(html: Column) -> Column:
-    """Plain text of markup: silent elements and tags go, blocks end lines, references are resolved."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    """Plain text of markup: silent elements and tags go, blocks end lines, references are resolved.
+
+    A comment or silent element that isn't closed reaches to the end.
+    """
+    text = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
     for tag in SILENT:
-        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
+        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)", "")
     text = F.regexp_replace(text, rf"(?i)</?(?:{'|'.join(BLOCKS)})\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"<[^<>]*>", "")
     for name, sign in REFERENCES:
