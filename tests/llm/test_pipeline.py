@@ -8,7 +8,6 @@ import corpus_pipeline
 import numpy as np
 from faultline.llm import queries, training_order
 
-
 from .test_mixing import brute_targets
 from .test_simhash import brute_components, brute_print
 from .test_training_order import decoded
