@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -185,16 +186,16 @@ def _filter(benchmark: DataFrame) -> bytes:
     return words.tobytes()
 
 
-def _verdicts(pdf: pd.DataFrame) -> tuple[float, int, float]:
+def _verdict(rows: list[dict]) -> tuple[float, int, float]:
     """(coverage, longest run, consistent share) of one document's matches with one item."""
-    size = int(pdf["tokens"].iloc[0])
-    covered = np.zeros(size, bool)
+    covered = np.zeros(rows[0]["tokens"], bool)
     fills: dict[tuple[int, int], set[int]] = {}
-    for pos, mine, theirs in zip(pdf["item_pos"], pdf["item_fillers"], pdf["fillers"]):
+    for r in rows:
+        pos = r["item_pos"]
         covered[pos : pos + WINDOW] = True
-        for k in range(WINDOW):
-            if mine[k]:
-                fills.setdefault((mine[k], theirs[k]), set()).add(pos + k)
+        for k, (mine, theirs) in enumerate(zip(r["item_fillers"], r["fillers"])):
+            if mine:
+                fills.setdefault((mine, theirs), set()).add(pos + k)
     edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
     run = int((edges[1::2] - edges[::2]).max()) if len(edges) else 0
     best: dict[int, int] = {}
@@ -204,13 +205,28 @@ def _verdicts(pdf: pd.DataFrame) -> tuple[float, int, float]:
     return float(covered.mean()), run, sum(best.values()) / total if total else 1.0
 
 
-def _judge(pdf: pd.DataFrame) -> pd.DataFrame:
-    coverage, run, consistent = _verdicts(pdf)
-    leak = (coverage >= COVERAGE or run >= RUN) and consistent >= CONSISTENT
-    keys = pdf[["doc_id", "text_hash", "item_id"]].head(1)
-    return keys.assign(coverage=coverage, run=run, consistent=consistent) if leak else keys.head(0).assign(
-        coverage=0.0, run=0, consistent=0.0
-    )
+_KEYS = ["doc_id", "text_hash", "item_id", "place"]
+_FOUND = "doc_id long, text_hash long, item_id long, coverage double, run int, consistent double"
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leaks among rows that come group by group; only one group is held at a time."""
+    names = [column.split()[0] for column in _FOUND.split(", ")]
+    rows = (r for b in batches for r in b.to_pylist())
+    found: list[tuple] = []
+
+    def made() -> pa.RecordBatch:
+        kinds = [pa.int64()] * 3 + [pa.float64(), pa.int32(), pa.float64()]
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate(kinds)], names)
+
+    for key, group in groupby(rows, key=itemgetter(*_KEYS)):
+        coverage, run, consistent = _verdict(list(group))
+        if (coverage >= COVERAGE or run >= RUN) and consistent >= CONSISTENT:
+            found.append((*key[:3], coverage, run, consistent))
+        if len(found) >= 10_000:
+            yield made()
+            found.clear()
+    yield made()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -236,15 +252,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ["doc_id", "text_hash", "item_id", "place", "pos", "item_pos"]
     )
     met = stage(met)
-    keys = ["doc_id", "text_hash", "item_id", "place"]
     # with fewer windows a passage can be neither long nor covering
     enough = F.least(F.lit(RUN), F.ceil(F.max("tokens") * COVERAGE))
-    long = met.groupBy(*keys).agg((F.count_distinct("item_pos") * WINDOW >= enough).alias("long")).filter("long")
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    long = met.groupBy(*_KEYS).agg((F.count_distinct("item_pos") * WINDOW >= enough).alias("long")).filter("long")
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in _KEYS]
     met = met.alias("a").join(long.alias("b"), same, "left_semi").select("a.*")
-    found = met.groupBy(*keys).applyInPandas(
-        _judge, "doc_id long, text_hash long, item_id long, coverage double, run int, consistent double"
-    )
+    found = met.repartition(*_KEYS).sortWithinPartitions(*_KEYS).mapInArrow(_judge, _FOUND)
     best = F.max(F.struct("coverage", "run", "consistent")).alias("best")
     return found.groupBy("doc_id", "text_hash", "item_id").agg(best).select(
         "doc_id", "text_hash", "item_id", "best.coverage", "best.run", "best.consistent"
