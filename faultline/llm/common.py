@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir, stage
 
-__all__ = ["documents", "fresh", "positions", "read", "scratch_dir", "stage", "staged_zstd", "text_hash"]
+__all__ = ["bound", "documents", "fresh", "positions", "read", "scratch_dir", "stage", "staged_zstd", "text_hash"]
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, though lambdas inside use it again and again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,12 +13,13 @@ match ended. Both find the same matches as the plain patterns beside them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound
+
 #: Code points before and after a span in which context words count.
 CONTEXT = 40
 #: Lengths are added up in runs of this many, so that a text of many matches stays cheap.
@@ -127,11 +128,6 @@ def _valid(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
-def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, though lambdas inside use it again and again."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _running(lengths: Column) -> Column:
     """Sums of all entries up to each, run by run: the sums of whole runs first, then inside."""
     zero = F.lit(0).cast("long")
@@ -148,10 +144,10 @@ def _running(lengths: Column) -> Column:
         def from_totals(totals: Column) -> Column:
             return F.flatten(F.transform(runs, lambda r, i: inside(r, total(F.slice(totals, 1, i)))))
 
-        return _bound(F.transform(runs, total), from_totals)
+        return bound(F.transform(runs, total), from_totals)
 
     last = F.floor((F.size(lengths) - 1) / RUN).cast("int")
-    return _bound(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(lengths, i * RUN + 1, RUN)), summed)
+    return bound(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(lengths, i * RUN + 1, RUN)), summed)
 
 
 def _spans(kind: Kind, text: Column, found: Column) -> Column:
@@ -173,10 +169,10 @@ def _spans(kind: Kind, text: Column, found: Column) -> Column:
             return F.filter(F.transform(found, span), lambda s: s.isNotNull())
 
         # before the first match, the match, between it and the next, the next match, ...
-        return _bound(F.flatten(F.transform(found, lengths)), lambda each: _bound(_running(each), from_ends))
+        return bound(F.flatten(F.transform(found, lengths)), lambda each: bound(_running(each), from_ends))
 
     none = F.array().cast("array<struct<start: bigint, end: bigint, score: int>>")
-    return F.when(F.size(found) > 0, _bound(F.split(text, kind.pattern, -1), from_pieces)).otherwise(none)
+    return F.when(F.size(found) > 0, bound(F.split(text, kind.pattern, -1), from_pieces)).otherwise(none)
 
 
 def find(docs: DataFrame, kinds: tuple[Kind, ...] = BASE + ADDED) -> DataFrame:

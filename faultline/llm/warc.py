@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import bound, fresh
 
 VERSION = "WARC/1.1"
 #: The date of records whose response has none.
@@ -33,12 +33,19 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 def _sha1(value: Column) -> Column:
     """``sha1:`` and the 32 signs of base 32."""
-    bits = F.concat(*(F.lpad(F.conv(F.substring(F.sha1(value), 10 * i + 1, 10), 16, 2), 40, "0") for i in range(4)))
-    signs = F.transform(
-        F.sequence(F.lit(0), F.lit(31)),
-        lambda i: F.substring(F.lit(_BASE32), F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)),
-    )
-    return F.concat(F.lit("sha1:"), F.array_join(signs, ""))
+
+    def base32(digest: Column) -> Column:
+        bits = F.concat(*(F.lpad(F.conv(F.substring(digest, 10 * i + 1, 10), 16, 2), 40, "0") for i in range(4)))
+        return bound(bits, signs)
+
+    def signs(bits: Column) -> Column:
+        def sign(i: Column) -> Column:
+            place = F.conv(F.substring(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int")
+            return F.substring(F.lit(_BASE32), place + 1, F.lit(1))
+
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), sign), "")
+
+    return F.concat(F.lit("sha1:"), bound(F.sha1(value), base32))
 
 
 def _id(*parts: Column) -> Column:
