@@ -20,10 +20,23 @@ def number(text: Column) -> Column:
 
 
 def plain_number(text: Column) -> Column:
-    """Number text without an exponent for everyday sizes (2.0E-4 as 0.0002)."""
-    digits = text.try_cast("decimal(38,16)").cast("string")
-    plain = F.regexp_replace(F.regexp_replace(digits, r"0+$", ""), r"\.$", ".0")
+    """Number text without an exponent for everyday sizes (2.0E-4 as 0.0002).
+
+    The point is moved in the text itself, so no digit is rounded or lost.
+    """
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, r"^\s*([+-]?)(\d*)\.?(\d*)[eE]([+-]?\d+)\s*$", group)
+
+    digits = F.concat(part(2), part(3))
+    point = F.length(part(2)) + part(4).try_cast("int")  # digits before the point
+    padded = F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(1) - point, F.lit(0))), digits)
+    padded = F.concat(padded, F.repeat(F.lit("0"), F.greatest(point + 1 - F.length(digits), F.lit(0))))
+    whole = F.greatest(point, F.lit(1))
+    left = F.regexp_replace(F.substring(padded, F.lit(1), whole), "^0+(?=.)", "")
+    right = F.regexp_replace(F.substring(padded, whole + 1, F.length(padded)), "(?<=.)0+$", "")
+    sign = F.when(part(1) == "-", "-").otherwise("")
     size = F.abs(text.try_cast("double"))
+    plain = F.concat(sign, left, F.lit("."), right)
     return F.when(text.rlike("[eE]") & size.between(1e-4, 1e15), plain).otherwise(text)
 
 

@@ -125,7 +125,9 @@ def table_summary(spark: SparkSession, base: str) -> DataFrame:
         .select("path", "length")
     )
     root = base.split("://")[-1].removeprefix("file:").strip("/")
-    inside = F.substring_index("path", root + "/", -1)
+    # what follows the root, where it first occurs: the same text may come again deeper
+    start = F.locate(root + "/", F.col("path")) + len(root) + 1
+    inside = F.substring("path", start, F.length("path"))
     return (
         files.groupBy(F.substring_index(inside, "/", 1).alias("table"))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("size_bytes"))

@@ -16,9 +16,11 @@ def dedup(
 ) -> DataFrame:
     """First-seen row per key, in batch or streaming.
 
-    On a stream, ``watermark`` bounds the state: a key is forgotten once the
-    watermark has passed its row, and a later repeat is admitted again. Without
-    it every key is kept for ever.
+    Without ``watermark`` every key is kept for ever, in a state store on disk,
+    and no row is lost. With it a stream's state is bounded: a key is forgotten
+    once the watermark has passed its row, a later repeat is admitted again, rows
+    behind the watermark are **dropped** even if their key is new, and rows
+    without a time aren't compared. Only use it where that is wanted.
     """
     if watermark and df.isStreaming:
         return df.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(keys)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import cell_id, level_for_radius, with_cover
-from ..functions.geo import EARTH_RADIUS_KM, chord_squared, haversine_km, with_unit_vector
+from ..functions.geo import DISTANCES, EARTH_RADIUS_KM, chord_squared, with_unit_vector
+from ..session import stage
 from .hotkeys import BROADCAST_BYTES, HOT_ROWS, measured, salted_join
 
 STRATEGIES = ("auto", "broadcast", "grid")
@@ -30,6 +31,7 @@ def within_distance(
     strategy: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    method: str = "haversine",
 ) -> DataFrame:
     """All (event, site) pairs with distance_km < ``km``.
 
@@ -38,7 +40,10 @@ def within_distance(
     event lies in one cell, so an equi-join on the cell meets every pair once;
     the exact distance decides. Sites are broadcast when their measured size
     allows, which leaves events where they are; else both sides are shuffled by
-    cell with hot cells cut up. ``events`` may be a stream.
+    cell with hot cells cut up. ``events`` may be a stream; the listed sites are
+    then written out once, not made again for every micro-batch.
+
+    ``method`` is the distance: "haversine" or "slc".
     """
     shared = set(events.columns) & set(sites.columns)
     if shared:
@@ -46,6 +51,8 @@ def within_distance(
     radius = min(km / EARTH_RADIUS_KM, math.pi)
     here = sites.dropna(subset=["site_lat", "site_lon"])
     here = with_cover(with_unit_vector(here, "site_lat", "site_lon", "_s"), "_s", radius)
+    if events.isStreaming:
+        here = stage(here)
     there = with_unit_vector(events.dropna(subset=["lat", "lon"]), "lat", "lon", "_e")
     there = there.withColumn("cell", cell_id("_e", level_for_radius(radius)))
     size = 0 if strategy == "grid" else measured(here)[1]
@@ -64,7 +71,7 @@ def within_distance(
         pairs.filter(near)
         .withColumn(
             "distance_km",
-            haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")),
+            DISTANCES[method](F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")),
         )
         .filter(F.col("distance_km") < km)
         .select(*events.columns, *sites.columns, "distance_km")

@@ -25,7 +25,7 @@ from ..functions.cells import (
     with_all_cells,
     with_child_cells,
 )
-from ..functions.geo import EARTH_RADIUS_KM, chord_squared, dot, haversine_km, with_unit_vector
+from ..functions.geo import DISTANCES, EARTH_RADIUS_KM, chord_squared, dot, with_unit_vector
 from ..session import scratch_dir, stage
 from .distance_join import choose
 from .hotkeys import BROADCAST_BYTES, HOT_ROWS, salted_join
@@ -201,21 +201,29 @@ def rank_sites(
     sites: DataFrame | SiteIndex,
     k: int = 1,
     strategy: str = "auto",
-    ids_unique: bool = False,
+    ids_unique: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    method: str = "haversine",
 ) -> DataFrame:
     """The ``k`` nearest sites per event, ties by lower site_id.
 
     Events need event_id, lat and lon. Adds site_id, site_lat, site_lon,
-    distance_km and rank. Rows sharing an event_id are ranked together, which
-    costs a shuffle of k rows per event; ``ids_unique=True`` promises there are
-    none and saves it. Streams need that promise.
+    distance_km and rank. Every row is an event of its own and ranked where it
+    is found. ``ids_unique=False`` ranks rows that share an event_id together, at
+    the cost of a shuffle; rows without an id stay apart. ``method`` is the
+    distance that is given, "haversine" or "slc"; both order sites alike.
     """
     index = sites if isinstance(sites, SiteIndex) else build_site_index(sites, k)
     if index.k < k:
         raise ValueError(f"the index holds candidates for k={index.k}, not {k}")
+    across = index.split or not ids_unique  # candidates of an event come in several rows
+    if across and events.isStreaming:
+        raise ValueError("ranking across rows of an event: use foreachBatch or ids_unique")
+    kept = [*events.columns, "_row"] if across else events.columns
     spots = with_unit_vector(events.dropna(subset=["lat", "lon"]), "lat", "lon", "_e")
+    if across:
+        spots = spots.withColumn("_row", F.monotonically_increasing_id())
     keys = [cell_id("_e", level) for level in index.levels]
     # With cells of several sizes an event has one key per size; one of them matches.
     spots = spots.withColumn("cell", keys[0] if len(keys) == 1 else F.explode(F.array(*keys)))
@@ -240,17 +248,17 @@ def rank_sites(
     best = F.array(F.array_min(options)) if k == 1 else F.slice(F.array_sort(options), 1, k)
     ranked = (
         found.selectExpr("*", f"{worst} + {_MARGIN}D AS _limit")
-        .select(*events.columns, F.posexplode(best).alias("_pos", "_best"))
-        .select(*events.columns, "_best.*", (F.col("_pos") + 1).alias("rank"))
+        .select(*kept, F.posexplode(best).alias("_pos", "_best"))
+        .select(*kept, "_best.*", (F.col("_pos") + 1).alias("rank"))
     )
-    if index.split or not ids_unique:
-        if events.isStreaming:
-            raise ValueError("ranking across rows of an event: use foreachBatch or ids_unique")
-        w = Window.partitionBy("event_id").orderBy("km", "site_id")
+    if across:
+        # An event without an id, or one of a split cell, is known by its row.
+        alone = F.lit(True) if ids_unique else F.col("event_id").isNull()
+        w = Window.partitionBy("event_id", F.when(alone, F.col("_row"))).orderBy("km", "site_id")
         ranked = ranked.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.withColumn(
+    return ranked.drop("_row").withColumn(
         "distance_km",
-        haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")),
+        DISTANCES[method](F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")),
     ).drop("km")
 
 

@@ -3,8 +3,8 @@
 from pyspark.sql import types as T
 
 
-def _fields(names: str, kind: T.DataType) -> list[T.StructField]:
-    return [T.StructField(n, kind, True) for n in names.split()]
+def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
+    return [T.StructField(n, kind, True) for n in names]
 
 
 _S, _D, _B = T.StringType(), T.DoubleType(), T.BooleanType()
@@ -13,14 +13,14 @@ CORRUPT = "_corrupt_record"
 
 # The nested event message.
 EVENT_PROPERTIES = T.StructType(
-    _fields("unid source_id source_catalog lastupdate time flynn_region", _S)
-    + _fields("lat lon depth", _D)
-    + _fields("evtype auth", _S)
-    + _fields("mag", _D)
-    + _fields("magtype", _S)
+    _fields(_S, "unid", "source_id", "source_catalog", "lastupdate", "time", "flynn_region")
+    + _fields(_D, "lat", "lon", "depth")
+    + _fields(_S, "evtype", "auth")
+    + _fields(_D, "mag")
+    + _fields(_S, "magtype")
 )
 EVENT_GEOMETRY = T.StructType(
-    _fields("type", _S) + [T.StructField("coordinates", T.ArrayType(_D), True)]
+    _fields(_S, "type") + [T.StructField("coordinates", T.ArrayType(_D), True)]
 )
 EVENT_MESSAGE = T.StructType(
     [
@@ -28,7 +28,7 @@ EVENT_MESSAGE = T.StructType(
         T.StructField(
             "data",
             T.StructType(
-                _fields("type id", _S)
+                _fields(_S, "type", "id")
                 + [
                     T.StructField("geometry", EVENT_GEOMETRY, True),
                     T.StructField("properties", EVENT_PROPERTIES, True),
@@ -41,25 +41,25 @@ EVENT_MESSAGE = T.StructType(
 
 # The flat station message; Station is added (the feed requires it).
 STATION_MESSAGE = T.StructType(
-    _fields("type region", _S)
-    + _fields("latitude longitude", _D)
-    + _fields("version", _S)
-    + _fields("PGA PGV PGD PGA_EW PGV_EW PGD_EW PGA_NS PGV_NS PGD_NS", _D)
-    + _fields("PGA_UD PGV_UD PGD_UD Max_PGA Max_PGV Max_PGD", _D)
-    + _fields("Shindo Max_Shindo", _S)
-    + _fields("CalcShindo Max_CalcShindo Intensity Max_Intensity", _D)
-    + _fields("LPGM Max_LPGM Sva30 Max_Sva30", _D)
-    + _fields("private High_Precision", _B)
-    + _fields("update_at create_at Station", _S)
+    _fields(_S, "type", "region")
+    + _fields(_D, "latitude", "longitude")
+    + _fields(_S, "version")
+    + _fields(_D, "PGA", "PGV", "PGD", "PGA_EW", "PGV_EW", "PGD_EW", "PGA_NS", "PGV_NS", "PGD_NS")
+    + _fields(_D, "PGA_UD", "PGV_UD", "PGD_UD", "Max_PGA", "Max_PGV", "Max_PGD")
+    + _fields(_S, "Shindo", "Max_Shindo")
+    + _fields(_D, "CalcShindo", "Max_CalcShindo", "Intensity", "Max_Intensity")
+    + _fields(_D, "LPGM", "Max_LPGM", "Sva30", "Max_Sva30")
+    + _fields(_B, "private", "High_Precision")
+    + _fields(_S, "update_at", "create_at", "Station")
 )
 
 # The sites CSV, in column order.
 SITES_CSV = T.StructType(
-    _fields("id", T.IntegerType())
-    + _fields("ident icao iata gps_code local_code name", _S)
-    + _fields("latitude longitude elevation", _D)
-    + _fields("continent country region municipality scheduled_service", _S)
-    + _fields("web_url wikipedia_url keywords timezone airport_type", _S)
+    _fields(T.IntegerType(), "id")
+    + _fields(_S, "ident", "icao", "iata", "gps_code", "local_code", "name")
+    + _fields(_D, "latitude", "longitude", "elevation")
+    + _fields(_S, "continent", "country", "region", "municipality", "scheduled_service")
+    + _fields(_S, "web_url", "wikipedia_url", "keywords", "timezone", "airport_type")
 )
 
 # A topic written out as a table, for file sources and sinks.

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from ..schemas import MESSAGE
 
 
+def source_options(fmt: str, fail_on_data_loss: bool, starting_offsets: str, options: dict) -> dict:
+    """Options for the reader; those given by the source's own names win over the arguments."""
+    if fmt != "kafka":
+        return dict(options)
+    own = {"startingOffsets": starting_offsets, "failOnDataLoss": str(fail_on_data_loss).lower()}
+    given = {name.lower() for name in options}
+    return {k: v for k, v in own.items() if k.lower() not in given} | options
+
+
 def read_messages(
     spark: SparkSession,
     fmt: str = "kafka",
@@ -24,11 +33,9 @@ def read_messages(
     ``"text"`` reads one message per line and takes the file's time as arrival
     time; any other format reads tables of key, value, timestamp.
     """
-    reader = (spark.readStream if streaming else spark.read).format(fmt).options(**options)
+    given = source_options(fmt, fail_on_data_loss, starting_offsets, options)
+    reader = (spark.readStream if streaming else spark.read).format(fmt).options(**given)
     if fmt == "kafka":
-        reader = reader.option("startingOffsets", starting_offsets).option(
-            "failOnDataLoss", str(fail_on_data_loss).lower()
-        )
         return reader.load()
     if fmt == "text":
         return reader.load(path).select(

@@ -175,7 +175,9 @@ def test_values(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(number(F.col("t"))).collect()]
     assert got == [1.5, -2.0, 0.5, 1000.0, None, None, None, None, 1.0, None]
-    shown = {"2.0E-4": "0.0002", "1.0E7": "10000000.0", "12.3": "12.3", "1.0E-7": "1.0E-7", "8": "8", "1.25E8": "125000000.0"}
+    shown = {"2.0E-4": "0.0002", "1.0E7": "10000000.0", "12.3": "12.3", "1.0E-7": "1.0E-7", "8": "8", "1.25E8": "125000000.0",
+             "1.23456789012345E-4": "0.000123456789012345", "-1.2345678901234567E-4": "-0.00012345678901234567",
+             "9.007199254740993E14": "900719925474099.3", "+5e3": "5000.0", "1E400": "1E400", "x": "x"}
     df = spark.createDataFrame([(t,) for t in shown], "t string")
     assert [r[0] for r in df.select(plain_number(F.col("t"))).collect()] == list(shown.values())
     assert spark.range(1).select(size_mb(F.lit(1572864))).first()[0] == 1.5

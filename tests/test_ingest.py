@@ -8,14 +8,15 @@ from pyspark.sql import types as T
 from faultline.operators import dedup, ingest, points, render, validate
 from faultline.sources import export, raw, tables
 
+# An invented event.
 PROPERTIES = {
-    "unid": "u1", "source_id": "7", "source_catalog": "CAT", "time": "2025-12-12T08:30:52.000Z",
-    "lastupdate": "2025-12-12 10:32:50", "flynn_region": "SOMEWHERE", "lat": 39.29, "lon": 28.9592,
-    "depth": 8.0, "mag": 0.8, "magtype": "ml", "evtype": "ke", "auth": "AUTH",
+    "unid": "u1", "source_id": "31", "source_catalog": "INV", "time": "2031-03-04T05:06:07.250Z",
+    "lastupdate": "2031-03-05 10:11:12", "flynn_region": "NOWHERE", "lat": -12.5, "lon": 101.75,
+    "depth": 33.0, "mag": 4.4, "magtype": "mw", "evtype": "ke", "auth": "AUTH",
 }
 
 
-def event(coordinates=(28.9592, 39.29, -8.0), drop=(), **changes):
+def event(coordinates=(101.75, -12.5, -33.0), drop=(), **changes):
     props = {k: v for k, v in {**PROPERTIES, **changes}.items() if k not in drop}
     geometry = {"type": "Point", "coordinates": list(coordinates)}
     data = {"type": "Feature", "id": props.get("unid"), "geometry": geometry, "properties": props}
@@ -37,8 +38,8 @@ def test_flat_columns_and_types(spark):
     assert types["event_time"] == types["processed_at"] == "timestamp"
     assert types["processing_date"] == "date"
     row = flat.first()
-    assert (row.latitude, row.coord_depth, row.region) == (39.29, -8.0, "SOMEWHERE")
-    assert str(row.event_time) == "2025-12-12 08:30:52" and str(row.last_update) == "2025-12-12 10:32:50"
+    assert (row.latitude, row.coord_depth, row.region) == (-12.5, -33.0, "NOWHERE")
+    assert str(row.event_time) == "2031-03-04 05:06:07.250000" and str(row.last_update) == "2031-03-05 10:11:12"
     assert row.processed_at is not None and row.processing_date is not None
 
 
@@ -115,7 +116,7 @@ def test_station_validation(spark):
 
 
 def test_station_columns(spark):
-    message = json.dumps({"region": "r", "latitude": 1, "longitude": 2, "create_at": "2025-12-12 10:32:50",
+    message = json.dumps({"region": "r", "latitude": 1, "longitude": 2, "create_at": "2031-03-05 10:11:12",
                           "update_at": "bad", "PGA": 0.5, "private": True, "Station": "S"})
     source = values(spark, [message, '{"type":"heartbeat"}']).withColumn("timestamp", F.current_timestamp())
     flat = ingest.flatten_stations(ingest.parse_stations(source))
@@ -178,7 +179,7 @@ def test_sites_csv_round_trip_and_header_check(spark, tmp_path):
 
 def test_rendered_block(spark):
     full, bare = render.render_events(values(spark, [event(mag=0.0002), "{}"])).collect()
-    assert "[create] Earthquake Event" in full.text and "Magnitude: ml 0.0002\n" in full.text
+    assert "[create] Earthquake Event" in full.text and "Magnitude: mw 0.0002\n" in full.text
     assert full.text.startswith("\n" + "=" * 80) and full.text.endswith("=" * 80 + "\n")
     for line in ("[UNKNOWN]", "Location:  Unknown Region", "Depth:     N/A km", "Coords:    N/A°N, N/A°E"):
         assert line in bare.text
@@ -190,7 +191,7 @@ def test_csv_export_appends(spark, tmp_path):
         export.export_events_csv(values(spark, [event(drop=["auth"])]), path)
     back = spark.read.option("header", True).csv(path)
     assert back.columns == render.CSV_HEADERS and back.count() == 2
-    assert back.first().authority is None and back.first().magnitude == "0.8"
+    assert back.first().authority is None and back.first().magnitude == "4.4"
 
 
 def test_keyed_json(spark):
@@ -210,3 +211,10 @@ def test_wrong_kinds_fail_early(spark):
     with pytest.raises(ValueError):
         tables.write_table(spark.range(1), "/nowhere", "replace")
     assert isinstance(ingest.EVENT_MESSAGE, T.StructType)
+
+
+def test_the_sources_own_option_names_win():
+    given = raw.source_options("kafka", True, "earliest", {"startingOffsets": "latest", "failondataloss": "false", "subscribe": "t"})
+    assert given == {"startingOffsets": "latest", "failondataloss": "false", "subscribe": "t"}
+    assert raw.source_options("kafka", False, "earliest", {}) == {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+    assert raw.source_options("text", True, "earliest", {"wholetext": "true"}) == {"wholetext": "true"}

@@ -141,8 +141,18 @@ def test_no_sites_and_no_coordinates(spark):
 def test_one_row_per_event_id(spark):
     e = spark.createDataFrame([(1, 10.0, 20.0), (1, 50.0, 20.0), (None, 0.0, 0.0), (None, 1.0, 1.0)], EVENT)
     s = spark.createDataFrame([(1, 11.0, 20.0), (2, 50.0, 20.1)], SITE)
-    assert {r.event_id: r.site_id for r in nearest_site(e, s).collect()} == {1: 2, None: 1}
-    assert nearest_site(e, s, ids_unique=True).count() == 4
+    assert nearest_site(e, s).count() == 4  # every row is an event
+    found = nearest_site(e, s, ids_unique=False).collect()  # rows of one id are one event, rows without stay apart
+    assert sorted((r.event_id or 0, r.site_id) for r in found) == [(0, 1), (0, 1), (1, 2)]
+
+
+def test_events_without_id_and_split_cells(spark):
+    """With its candidates in several rows a cell still gives each row of events its own nearest site."""
+    e = spark.createDataFrame([(None, 0.0, 0.0), (None, 0.0, 0.0), (7, 0.0, 0.1), (7, 0.0, -0.1)], EVENT)
+    s = spark.createDataFrame([(i, 0.01 * (i % 7), 0.01 * (i // 7)) for i in range(49)], SITE)
+    index = build_site_index(s, per_cell=4, per_row=2)
+    found = nearest_site(e, index).collect()
+    assert sorted((r.event_id or 0, r.site_id) for r in found) == [(0, 0), (0, 0), (7, 0), (7, 42)]
 
 
 def test_strategy_is_checked(spark, world):

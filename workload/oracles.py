@@ -279,6 +279,16 @@ def oracle_sql() -> dict[str, str]:
         )
         + """SELECT CAST(event_id AS VARCHAR) AS event_id, 'u' || id AS unid FROM g, w
             WHERE first OR (ts > last - INTERVAL 15 MINUTE AND id NOT IN (SELECT id FROM kept))""",
+        "stream_late_rows": _with(_QUAKES)
+        + f"SELECT DISTINCT 'u' || (event_id % {KEYS}) AS unid, CAST(1 AS BIGINT) AS rows FROM v",
+        "stream_bad_times": _with(_QUAKES)
+        + f"SELECT DISTINCT 'u' || (event_id % {KEYS}) AS unid, CAST(1 AS BIGINT) AS rows,"
+        " CAST(0 AS BIGINT) AS times FROM v",
+        "ingest_accounted": _with(_QUAKES, _FAULTY, _REJECTS)
+        + "SELECT CASE WHEN reject_reason = 'accepted' THEN 'accepted' ELSE 'rejected' END AS outcome,"
+        " CAST(sum(CASE WHEN reject_reason = 'accepted' THEN 1 ELSE 2 END) AS BIGINT) AS messages"
+        " FROM j GROUP BY 1",
+        "sample_rows_known": "SELECT least(count(*), 5) AS rows FROM events",
         "stream_revisions": _with(_QUAKES)
         + f"""SELECT 'u' || (event_id % {KEYS}) AS unid, CAST(event_id AS VARCHAR) AS event_id FROM v
             QUALIFY row_number() OVER (PARTITION BY event_id % {KEYS}
@@ -288,6 +298,7 @@ def oracle_sql() -> dict[str, str]:
     }
     within = _with(_QUAKES, _SITES, _PAIRS) + "SELECT event_id, site_id, round(km, 3) AS km FROM p WHERE km < 500"
     nearest = _NEAREST + "SELECT event_id, site_id, round(km, 3) AS km FROM r WHERE rank = 1"
+    out["nearest_site_slc"] = _NEAREST + f"SELECT event_id, site_id, round({_SLC}, 3) AS km FROM r WHERE rank = 1"
     out |= {n: within for n in ("within_500km", "within_500km_grid")}
     out |= {n: nearest for n in ("nearest_site_auto", "nearest_site_grid", "stream_nearest")}
     return out

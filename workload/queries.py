@@ -224,6 +224,11 @@ def nearest_site_auto(spark, sf):
     return _nearest(spark, sf).select("event_id", "site_id", km3())
 
 
+@query
+def nearest_site_slc(spark, sf):
+    return _nearest(spark, sf, method="slc").select("event_id", "site_id", km3())
+
+
 @query
 def nearest_site_grid(spark, sf):
     return _nearest(spark, sf, strategy="grid").select("event_id", "site_id", km3())
@@ -322,6 +327,14 @@ def sample_rows(spark, sf):
     return audit.sample_rows(inputs.table(spark, sf, "events"))
 
 
+@query
+def sample_rows_known(spark, sf):
+    """How many rows a sample has, and how many of them the table holds."""
+    events = inputs.table(spark, sf, "events")
+    sample = audit.sample_rows(events)
+    return sample.join(events.select("event_id"), "event_id", "left_semi").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def table_summary(spark, sf):
     names = {f"{n}.parquet": f"{sf}/{n}.parquet" for n in NAMES}
@@ -456,11 +469,52 @@ def stream_dedup_watermark(spark, sf):
     made = inputs.messages(spark, sf, f"concat('u', event_id % {half})")
     for part in (F.col("event_id") < half, F.col("event_id") >= half):
         _feed(made.filter(part), f"{root}/in")
-        rows = streams.deduped_events(_text_events(spark, f"{root}/in"))
+        rows = streams.deduped_events(_text_events(spark, f"{root}/in"), "15 minutes")
         _run(spark, lambda now: streams.append_stream(rows, f"{root}/out", f"{root}/cp", now))
     return tables.read_table(spark, f"{root}/out").select("event_id", "unid")
 
 
+@query
+def stream_late_rows(spark, sf):
+    """The newest events first, then all older ones, under the job's defaults: every id arrives."""
+    root = scratch_dir(spark)
+    made = inputs.messages(spark, sf, f"concat('u', event_id % {KEYS})")
+    source = {"fmt": "text", "path": f"{root}/in"}
+    for part in (F.col("ts") >= F.lit(NOW) - F.expr("INTERVAL 1 DAY"), F.lit(True)):
+        _feed(made.filter(part), f"{root}/in")
+        _run(spark, lambda now: jobs.ingest_quakes(spark, source, f"{root}/out", f"{root}/cp", trigger=now))
+    return tables.read_table(spark, f"{root}/out").groupBy("unid").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def stream_bad_times(spark, sf):
+    """Events without a valid time, twice over one checkpoint: one row per id all the same."""
+    root = scratch_dir(spark)
+    made = inputs.messages(spark, sf, f"concat('u', event_id % {KEYS})")
+    made = made.withColumn("value", F.regexp_replace("value", '"time":"[^"]*"', '"time":"bad"'))
+    source = {"fmt": "text", "path": f"{root}/in"}
+    for _ in range(2):
+        _feed(made, f"{root}/in")
+        _run(spark, lambda now: jobs.ingest_quakes(spark, source, f"{root}/out", f"{root}/cp", trigger=now))
+    rows = tables.read_table(spark, f"{root}/out")
+    return rows.groupBy("unid").agg(F.count(F.lit(1)).alias("rows"), F.count("event_time").alias("times"))
+
+
+@query
+def ingest_accounted(spark, sf):
+    """Every message is in the table, a repeat of a row of it, or in the rejects."""
+    root = scratch_dir(spark)
+    messages = inputs.faulty_messages(spark, sf)
+    for _ in range(2):
+        _feed(messages, f"{root}/in")
+    source = {"fmt": "text", "path": f"{root}/in"}
+    _run(spark, lambda now: jobs.ingest_quakes(spark, source, f"{root}/out", f"{root}/cp", trigger=now))
+    _run(spark, lambda now: jobs.reject_quakes(spark, source, f"{root}/bad", f"{root}/bad-cp", now))
+    kept = tables.read_table(spark, f"{root}/out").select(F.lit("accepted").alias("outcome"))
+    bad = tables.read_table(spark, f"{root}/bad").select(F.lit("rejected").alias("outcome"))
+    return kept.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query
 def stream_revisions(spark, sf):
     """Corrections kept: the latest revision per id over two runs."""
