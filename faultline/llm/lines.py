@@ -1,4 +1,4 @@
-"""Fuzzy line dedup: MinHash bands, exact Jaccard, union-find; in Spark expressions.
+"""Fuzzy line dedup: MinHash bands, exact Jaccard, distributed union-find.
 
 A line's shingles of SHINGLE characters are hashed and sorted. Around the circle of
 hash values there are BANDS starting points; a band is the ROWS least hashes from
@@ -8,12 +8,19 @@ each with the least line of the bucket, then, once what is linked is merged, tho
 of a bucket that are still apart. So a large bucket of near copies costs one
 comparison a line, and no link is lost to it.
 
-Lines are known by a 64-bit hash of the whole line.
+Shingles are hashed in NumPy, a line at a time inside Arrow batches: as Spark
+expressions they took more CPU time than the limit allows (see the README).
+Everything else is DataFrame operations. Lines are known by a 64-bit hash of the
+whole line.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, stage, text_hash
@@ -23,11 +30,16 @@ SHINGLE = 6
 #: Hashes to a band, and bands: 99.6 % of the pairs at SIMILAR share one, 99.97 % at 0.85.
 ROWS, BANDS = 5, 14
 SIMILAR = 0.8
-#: Lines are cut into pieces of these sizes before shingles are taken, as finding a place in a string takes time.
-PIECES = (4096, 64)
 #: Bits of the filter of line hashes; its table has 2 ** (FILTER_BITS - 6) rows at most (4 MiB), whatever the input.
 FILTER_BITS = 24
 
+_FACTOR = 0x9E3779B97F4A7C15
+_POWERS = np.array([pow(_FACTOR, k + 1, 1 << 64) for k in range(max(SHINGLE, ROWS))], np.uint64)
+#: The bands' starting points, evenly around the circle of hash values.
+_POINTS = np.array([(i << 64) // BANDS for i in range(BANDS)], np.uint64)
+#: Stands for no character: fills up lines shorter than a shingle.
+_NONE = 0x110000
+
 
 def lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line_no, node, line) for every line that isn't blank; line_no from 0."""
@@ -39,45 +51,41 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows.filter(F.trim("line") != "").withColumn("node", F.xxhash64("line"))
 
 
-def _cut(text: Column, size: int) -> Column:
-    """Pieces of ``size`` places with SHINGLE - 1 characters of the next, so that every shingle is in one."""
-    last = F.floor((F.greatest(F.length(text) - SHINGLE, F.lit(0))) / size).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.substring(text, i * size + 1, F.lit(size + SHINGLE - 1))
-    )
-
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
 
-def _shingles(line: Column) -> Column:
-    """Distinct hashes of the shingles, sorted; a shorter line is one shingle."""
 
-    def of_piece(piece: Column) -> Column:
-        last = F.greatest(F.length(piece) - SHINGLE + 1, F.lit(1))
-        return F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.substring(piece, i, F.lit(SHINGLE))))
+def shingles(line: str) -> np.ndarray:
+    """Distinct hashes of the line's shingles, sorted; a shorter line is one shingle."""
+    codes = np.frombuffer(line.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    if len(codes) < SHINGLE:
+        codes = np.concatenate([codes, np.full(SHINGLE - len(codes), _NONE, np.uint64)])
+    n = len(codes) - SHINGLE + 1
+    hashes = codes[:n] * _POWERS[0]
+    for k in range(1, SHINGLE):
+        hashes += codes[k : k + n] * _POWERS[k]
+    return np.unique(_mixed(hashes))
 
-    def of_part(part: Column) -> Column:
-        return F.flatten(F.transform(_cut(part, PIECES[1]), of_piece))
 
-    return F.sort_array(F.array_distinct(F.flatten(F.transform(_cut(line, PIECES[0]), of_part))))
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A key for each band, given the sorted shingle hashes."""
+    first = np.searchsorted(hashes, _POINTS)
+    taken = hashes[(first[:, None] + np.arange(ROWS)) % len(hashes)]
+    return _mixed(taken @ _POWERS[:ROWS] + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-#: The bands' starting points, evenly around the circle of hash values.
-POINTS = [(i << 64) // BANDS - (1 << 63) for i in range(BANDS)]
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        keys = [bands(shingles(line.as_py())) for line in b.column("line")]
+        ends = np.arange(0, BANDS * len(keys) + 1, BANDS, dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
+        yield pa.RecordBatch.from_arrays([b.column("node"), lists], ["node", "bands"])
 
 
 def banded(rows: DataFrame) -> DataFrame:
     """(node, bands), one row per distinct line."""
-    marks = F.array(*(F.lit(p).cast("long") for p in POINTS))
-    few = F.flatten(F.array_repeat("_shingles", ROWS + 1))
-    circle = F.when(F.size("_shingles") < ROWS, few).otherwise(F.concat("_shingles", F.slice("_shingles", 1, ROWS)))
-
-    def band(i: int) -> Column:
-        # where the point lies among the hashes: its place among hashes and points, less the points before it
-        first = F.array_position("_marked", F.lit(POINTS[i]).cast("long")).cast("int") - i
-        return F.xxhash64(F.lit(i), F.slice("_circle", first, F.lit(ROWS)))
-
-    out = rows.select("node", _shingles(F.col("line")).alias("_shingles"))
-    out = out.select("node", circle.alias("_circle"), F.sort_array(F.concat("_shingles", marks)).alias("_marked"))
-    return out.select("node", F.array(*map(band, range(BANDS))).alias("bands")).dropDuplicates(["node"])
+    return rows.select("node", "line").mapInArrow(_banded, "node long, bands array<long>").dropDuplicates(["node"])
 
 
 def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -92,15 +100,24 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.join(nodes, "node", "left_semi")
 
 
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        pairs = zip(b.column("x"), b.column("y"))
+        same = [jaccard(shingles(x.as_py()), shingles(y.as_py())) >= SIMILAR for x, y in pairs]
+        yield b.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+
 def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose lines have a Jaccard similarity of SIMILAR or more."""
-    one = texts.select(F.col("node").alias("a"), F.col("line").alias("_x"))
-    two = texts.select(F.col("node").alias("b"), F.col("line").alias("_y"))
+    one = texts.select(F.col("node").alias("a"), F.col("line").alias("x"))
+    two = texts.select(F.col("node").alias("b"), F.col("line").alias("y"))
     met = pairs.join(one, "a").join(two, "b")
-    met = met.select("a", "b", _shingles(F.col("_x")).alias("_x"), _shingles(F.col("_y")).alias("_y"))
-    met = met.withColumn("_both", F.size(F.array_intersect("_x", "_y")))
-    either = F.size("_x") + F.size("_y") - F.col("_both")
-    return met.filter(F.col("_both") >= either * SIMILAR).select("a", "b")
+    return met.select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long")
 
 
 def links(rows: DataFrame) -> DataFrame:
