@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.schemas import SITES_CSV
+from faultline.schemas import SITES_CSV, STATION_MESSAGE
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -142,6 +142,28 @@ def faulty_messages(spark: SparkSession, sf: str) -> DataFrame:
     return made.selectExpr("event_id", "ts", broken)
 
 
+def full_station_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Station messages in which every field of the schema has a value, as bytes.
+
+    Doubles are ``value`` times the field's number, other fields as listed.
+    """
+    q = events(spark, sf)
+    given = {
+        "region": "event_type",
+        "latitude": "(user_id * 29) % 1800 / 10D - 90",
+        "longitude": "(user_id * 71) % 3600 / 10D - 180",
+        "create_at": "cast(date_trunc('day', ts) AS string)",
+        "update_at": "cast(ts AS string)",
+    }
+    kinds = {"double": "value * {i}D", "string": "concat('{name}', event_id % 8)", "boolean": "(event_id + {i}) % 2 = 0"}
+    fields = [
+        F.expr(given.get(f.name, kinds[f.dataType.simpleString()].format(i=i, name=f.name))).alias(f.name)
+        for i, f in enumerate(STATION_MESSAGE.fields, 1)
+    ]
+    value = F.to_json(F.struct(*fields)).cast("binary")
+    return q.select("event_id", value.alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
+
+
 def station_messages(spark: SparkSession, sf: str) -> DataFrame:
     """One JSON station message per row in ``value``, with its arrival time."""
     q = events(spark, sf).withColumn("day", F.date_trunc("day", "ts").cast("string"))

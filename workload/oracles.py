@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from faultline.schemas import STATION_MESSAGE
+
 KEYS = 4000
 NOW = "TIMESTAMP '2024-01-30 23:59:00'"
 
@@ -50,6 +52,20 @@ _LABEL = (
 _NULLS_KEPT = "WHEN pgv IS NOT NULL THEN 'High'"
 
 
+def _station_fields() -> str:
+    given = {"region": "event_type", "latitude": "latitude", "longitude": "longitude", "create_at": "create_at"}
+    given["update_at"] = "CAST(ts AS VARCHAR)"
+    kinds = {
+        "double": "value * {i}",
+        "string": "'{name}' || (event_id % 8)",
+        "boolean": "(event_id + {i}) % 2 = 0",
+    }
+    return ", ".join(
+        given.get(f.name, kinds[f.dataType.simpleString()].format(i=i, name=f.name)) + f' AS "{f.name}"'
+        for i, f in enumerate(STATION_MESSAGE.fields, 1)
+    )
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ", ".join(p.strip() for p in parts) + "\n"
 
@@ -194,6 +210,13 @@ def oracle_sql() -> dict[str, str]:
             {_STAMP.format('ts')} AS kafka_timestamp,
             {_STAMP.format("date_trunc('day', ts)")} AS create_at_ts,
             {_STAMP.format('ts')} AS update_at_ts FROM st""",
+        "station_fields": _with(_STATIONS) + f"SELECT {_station_fields()} FROM st",
+        "stations_required": _with(_STATIONS)
+        + "SELECT event_type AS region, create_at, count(*) AS rows FROM st"
+        " WHERE event_id % 7 <> 0 AND event_id % 5 <> 0 GROUP BY ALL",
+        "event_points_strings": _with(_QUAKES, _FAULTY)
+        + "SELECT CAST(event_id AS VARCHAR) AS event_id, lat, lon, mag AS magnitude, upper(event_type) AS region"
+        " FROM f WHERE fault = 'fine' AND NOT no_unid AND inside AND NOT no_mag",
         "validate_events_reasons": _with(_QUAKES, _FAULTY, _CHECKED)
         + "SELECT reason, count(*) AS messages FROM e GROUP BY reason",
         "validate_stations_reasons": _with(_STATIONS)

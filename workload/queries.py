@@ -94,6 +94,32 @@ def parse_stations(spark, sf):
     )
 
 
+@query
+def station_fields(spark, sf):
+    """Every field of the station message, from bytes."""
+    rows = ingest.ingest_stations(inputs.full_station_messages(spark, sf))
+    return rows.select("*").drop("processed_at", "kafka_timestamp", "create_at_ts", "update_at_ts")
+
+
+@query
+def stations_required(spark, sf):
+    """Stations without a region or a time are left out."""
+    made = inputs.station_messages(spark, sf)
+    for every, name in ((7, "region"), (5, "create_at")):
+        without = F.regexp_replace("value", f'"{name}":"[^"]*"', f'"{name}":null')
+        made = made.withColumn("value", F.when(F.col("event_id") % every == 0, without).otherwise(F.col("value")))
+    rows = ingest.ingest_stations(made)
+    return rows.groupBy("region", "create_at").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def event_points_strings(spark, sf):
+    """Points of quakes whose numbers are text, some of them absent."""
+    rows = ingest.ingest_events(inputs.faulty_messages(spark, sf))
+    text = {c: F.col(c).cast("string") for c in ("latitude", "longitude", "magnitude")}
+    return points.event_points(rows.withColumns(text)).select("event_id", "lat", "lon", "magnitude", "region")
+
+
 @query
 def validate_events_reasons(spark, sf):
     return validate.reason_counts(validate.validate_events(inputs.faulty_messages(spark, sf)))
