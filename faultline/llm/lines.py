@@ -8,7 +8,7 @@ each with the least line of the bucket, then, once what is linked is merged, tho
 of a bucket that are still apart. So a large bucket of near copies costs one
 comparison a line, and no link is lost to it.
 
-Shingles are hashed in NumPy, a line at a time inside Arrow batches: as Spark
+Shingles are hashed in NumPy, many lines at a time inside Arrow batches: as Spark
 expressions they took more CPU time than the limit allows (see the README).
 Everything else is DataFrame operations. Lines are known by a 64-bit hash of the
 whole line.
@@ -38,7 +38,9 @@ _POWERS = np.array([pow(_FACTOR, k + 1, 1 << 64) for k in range(max(SHINGLE, ROW
 #: The bands' starting points, evenly around the circle of hash values.
 _POINTS = np.array([(i << 64) // BANDS for i in range(BANDS)], np.uint64)
 #: Stands for no character: fills up lines shorter than a shingle.
-_NONE = 0x110000
+_NONE = "\U0010ffff"
+#: Characters hashed together.
+AT_ONCE = 1 << 20
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -56,31 +58,62 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(line: str) -> np.ndarray:
-    """Distinct hashes of the line's shingles, sorted; a shorter line is one shingle."""
-    codes = np.frombuffer(line.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    if len(codes) < SHINGLE:
-        codes = np.concatenate([codes, np.full(SHINGLE - len(codes), _NONE, np.uint64)])
+def _parts(lines: list[str]) -> Iterator[slice]:
+    """Runs of lines of a bounded number of characters; a longer line is alone."""
+    start, size = 0, 0
+    for i, line in enumerate(lines):
+        if size and size + len(line) > AT_ONCE:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(line)
+    if lines:
+        yield slice(start, len(lines))
+
+
+def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each line's shingles, sorted and one line after the other, and their numbers.
+
+    A line shorter than a shingle is one.
+    """
+    lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, _NONE) for x in lines]
+    sizes = np.array([len(x) for x in lines])
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     n = len(codes) - SHINGLE + 1
     hashes = codes[:n] * _POWERS[0]
     for k in range(1, SHINGLE):
         hashes += codes[k : k + n] * _POWERS[k]
-    return np.unique(_mixed(hashes))
-
-
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band, given the sorted shingle hashes."""
-    first = np.searchsorted(hashes, _POINTS)
-    taken = hashes[(first[:, None] + np.arange(ROWS)) % len(hashes)]
-    return _mixed(taken @ _POWERS[:ROWS] + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    hashes = _mixed(hashes[(place <= np.repeat(sizes - SHINGLE, sizes))[:n]])
+    ends = np.cumsum(sizes - SHINGLE + 1)
+    starts = np.concatenate([[0], ends[:-1]])
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        hashes[a:b].sort()
+    first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+    first[starts] = True
+    return hashes[first], np.add.reduceat(first, starts, dtype=np.int64)
+
+
+def bands(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A key for each band of each line, given the sorted shingle hashes of the lines."""
+    starts = np.cumsum(counts) - counts
+    keys = np.empty((len(counts), BANDS), np.uint64)
+    for i, point in enumerate(_POINTS):
+        first = np.add.reduceat(hashes < point, starts, dtype=np.int64)  # the least hash from the point on
+        key = np.full(len(counts), i, np.uint64)
+        for k in range(ROWS):
+            key += hashes[starts + (first + k) % counts] * _POWERS[k]
+        keys[:, i] = _mixed(key)
+    return keys.view(np.int64)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys = [bands(shingles(line.as_py())) for line in b.column("line")]
-        ends = np.arange(0, BANDS * len(keys) + 1, BANDS, dtype=np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-        yield pa.RecordBatch.from_arrays([b.column("node"), lists], ["node", "bands"])
+        lines, nodes = b.column("line").to_pylist(), b.column("node")
+        for part in _parts(lines):
+            keys = bands(*shingles(lines[part]))
+            ends = pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([nodes[part.start : part.stop], lists], ["node", "bands"])
 
 
 def banded(rows: DataFrame) -> DataFrame:
@@ -100,15 +133,20 @@ def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.join(nodes, "node", "left_semi")
 
 
-def jaccard(x: np.ndarray, y: np.ndarray) -> float:
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+def jaccard(x: list[str], y: list[str]) -> list[float]:
+    """Of each line of ``x`` with that of ``y`` in its place."""
+    (one, n), (two, m) = shingles(x), shingles(y)
+    out = []
+    for a, i, b, j in zip((np.cumsum(n) - n).tolist(), n.tolist(), (np.cumsum(m) - m).tolist(), m.tolist()):
+        both = len(np.intersect1d(one[a : a + i], two[b : b + j], assume_unique=True))
+        out.append(both / (i + j - both))
+    return out
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        pairs = zip(b.column("x"), b.column("y"))
-        same = [jaccard(shingles(x.as_py()), shingles(y.as_py())) >= SIMILAR for x, y in pairs]
+        x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
+        same = [s >= SIMILAR for part in _parts(x) for s in jaccard(x[part], y[part])]
         yield b.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
 
