@@ -6,6 +6,11 @@ sequence. Windows of the sequence are hashed and joined with the windows of the
 benchmark; what stood in the placeholders then has to fit together: one value in
 the benchmark item stands for one value in the document throughout the passage.
 
+Windows of the plain lower-cased tokens are hashed and joined beside them, since a
+copy may be written in other capitals or hold hardly anything but numbers, and
+then its template says too little. A passage is a leak by its template or by its
+plain tokens.
+
 A document's windows are many and the benchmark's few, so windows first pass a
 Bloom filter of a fixed size made from the benchmark's hashes. The filter lets
 every matching window through; the hash join that follows is exact.
@@ -27,7 +32,7 @@ from xxhash import xxh64_intdigest
 from .common import fresh, stage, text_hash
 
 WINDOW = 5
-#: A window needs so many tokens that are no placeholders.
+#: A window of the template needs so many tokens that are no placeholders.
 MIN_LITERALS = 2
 #: A passage is a leak if it covers this share of the item's tokens ...
 COVERAGE = 0.8
@@ -60,6 +65,7 @@ _TOKENS = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|\w+|[.!?:;\n]+")
 _PLAIN, _NUMBER, _CAPITAL, _UNIT, _STOP = range(5)
 _FACTOR = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_FACTOR, k, 1 << 64) for k in range(WINDOW)], np.uint64)
+_PLAIN_SIGNS = [np.uint64(xxh64_intdigest(f"<plain {size}>")) for size in range(WINDOW + 1)]
 _PLACEHOLDERS = {k: np.uint64(xxh64_intdigest(f"<{k}>")) for k in (_NUMBER, _CAPITAL, _UNIT)}
 
 
@@ -102,12 +108,17 @@ class _Tokens:
 
 
 def canonical(text: str, tokens: _Tokens | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(template, filler) hashes of a text's tokens; filler is 0 where the token stands for itself.
+    """(template, filler) hashes of a text's tokens; filler is 0 where the token stands for itself."""
+    return _forms(text, tokens or _Tokens())[:2]
+
+
+def _forms(text: str, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(template, filler, plain): the canonical form, and the hashes of the lower-cased tokens themselves.
 
     A capital letter makes a name unless the token begins a sentence or line; names
     in a row are one name. A unit is a unit only after a number.
     """
-    hashes, kinds = (tokens or _Tokens())(text)
+    hashes, kinds = tokens(text)
     stop = kinds == _STOP
     first = np.concatenate([[True], stop[:-1]])[: len(stop)]
     hashes, kinds, first = hashes[~stop], kinds[~stop].copy(), first[~stop]
@@ -122,28 +133,45 @@ def canonical(text: str, tokens: _Tokens | None = None) -> tuple[np.ndarray, np.
     template, kinds = hashes[starts].copy(), kinds[starts]
     for kind, placeholder in _PLACEHOLDERS.items():
         template[kinds == kind] = placeholder
-    return template, filler
+    return template, filler, hashes
+
+
+def _hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows of ``size`` values."""
+    n = max(0, len(values) - size + 1)
+    hashes = np.zeros(n, np.uint64)
+    for k in range(size):
+        hashes += (values[k : k + n] ^ (values[k : k + n] >> np.uint64(29))) * _POWERS[k]
+    return hashes ^ (hashes >> np.uint64(32))
 
 
 def _windows(template: np.ndarray, filler: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Window hashes, and whether each window has enough literal tokens."""
-    n = len(template) - WINDOW + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, bool)
-    hashes = np.zeros(n, np.uint64)
-    literals = np.zeros(n, np.int8)
+    hashes = _hashes(template, WINDOW)
+    literals = np.zeros(len(hashes), np.int8)
     for k in range(WINDOW):
-        hashes += (template[k : k + n] ^ (template[k : k + n] >> np.uint64(29))) * _POWERS[k]
-        literals += filler[k : k + n] == 0
-    hashes ^= hashes >> np.uint64(32)
+        literals += filler[k : k + len(hashes)] == 0
     return hashes, literals >= MIN_LITERALS
 
 
-_ROWS = "pos int, window long, fillers array<long>, tokens int"
+def _plain_windows(plain: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Window hashes of plain tokens, and which to use: of those shorter than WINDOW, a whole item each, one of a kind."""
+    hashes = _hashes(plain, size) ^ _PLAIN_SIGNS[size]
+    use = np.full(len(hashes), size == WINDOW)
+    if size < WINDOW:
+        use[np.unique(hashes, return_index=True)[1]] = True
+    return hashes, use
+
+
+_ROWS = "plain boolean, pos int, window long, fillers array<long>, tokens int"
 
 
-def _emit(key: str, bits: bytes | None):
-    """Window rows of each text; with ``bits``, those that pass the filter."""
+def _emit(bits: bytes | None = None, short: tuple[int, ...] = ()):
+    """Window rows of each text; with ``bits``, those that pass the filter.
+
+    Without ``bits`` the texts are items, and an item shorter than WINDOW is a plain
+    window of its own size; ``short`` has the sizes of such items.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = None if bits is None else np.frombuffer(bits, np.uint64)
@@ -151,24 +179,28 @@ def _emit(key: str, bits: bytes | None):
         for batch in batches:
             keys, parts = [], []
             for row, text in enumerate(batch.column("text")):
-                template, filler = canonical(text.as_py() or "", tokens)
-                window, ok = _windows(template, filler)
-                if words is not None:
-                    bit = window & np.uint64((1 << FILTER_BITS) - 1)
-                    ok &= (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                at = np.flatnonzero(ok)
-                if len(at):
-                    keys.append(np.full(len(at), row))
-                    parts.append((at, window[at], filler[at[:, None] + np.arange(WINDOW)], np.full(len(at), len(template))))
+                template, filler, plain = _forms(text.as_py() or "", tokens)
+                sizes = (WINDOW, *short) if words is not None or len(plain) >= WINDOW else (len(plain),)
+                kinds = [(False, len(template), *_windows(template, filler))]
+                kinds += [(True, len(plain), *_plain_windows(plain, size)) for size in sizes if size]
+                for is_plain, size, window, ok in kinds:
+                    if words is not None:
+                        bit = window & np.uint64((1 << FILTER_BITS) - 1)
+                        ok &= (words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                    at = np.flatnonzero(ok)
+                    if len(at):
+                        fillers = filler[:0] if is_plain else filler[at[:, None] + np.arange(WINDOW)].ravel()
+                        n = np.full(len(at), 0 if is_plain else WINDOW)
+                        keys.append(np.full(len(at), row))
+                        parts.append((at, window[at], fillers, n, np.full(len(at), size), np.full(len(at), is_plain)))
             if not parts:
                 continue
-            at, window, fillers, sizes = (np.concatenate(p) for p in zip(*parts))
+            at, window, fillers, n, sizes, is_plain = (np.concatenate(p) for p in zip(*parts))
             row = pa.array(np.concatenate(keys))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, fillers.size + 1, WINDOW), pa.int32()), pa.array(fillers.ravel().view(np.int64))
-            )
+            ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, pa.array(fillers.view(np.int64)))
             columns = {c: batch.column(c).take(row) for c in batch.schema.names if c != "text"}
-            columns |= {"pos": pa.array(at, pa.int32()), "window": pa.array(window.view(np.int64))}
+            columns |= {"plain": pa.array(is_plain), "pos": pa.array(at, pa.int32()), "window": pa.array(window.view(np.int64))}
             columns |= {"fillers": lists, "tokens": pa.array(sizes, pa.int32())}
             yield pa.RecordBatch.from_pydict(columns)
 
@@ -205,7 +237,7 @@ def _verdict(rows: list[dict]) -> tuple[float, int, float]:
     return float(covered.mean()), run, sum(best.values()) / total if total else 1.0
 
 
-_KEYS = ["doc_id", "text_hash", "item_id", "place"]
+_KEYS = ["doc_id", "text_hash", "item_id", "plain", "place"]
 _FOUND = "doc_id long, text_hash long, item_id long, coverage double, run int, consistent double"
 
 
@@ -233,23 +265,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, coverage, run, consistent): each document with each item it gives away.
 
     ``benchmark`` has item_id and text. Defined cases: null and empty texts hold
-    nothing; an item of fewer than five tokens has no window and is never found;
-    repeated items are one item each, rows that repeat a document one result; null
-    ids are kept as null. Both texts are read whole. Other columns are not read.
+    nothing, nor does a text without a token; an item of fewer than five tokens is
+    found where all of them stand in a row; repeated items are one item each, rows
+    that repeat a document one result; null ids are kept as null. Both texts are read
+    whole. Other columns are not read.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    items = stage(items.mapInArrow(_emit("item_id", None), f"item_id long, {_ROWS}"))
+    items = stage(items.mapInArrow(_emit(), f"item_id long, {_ROWS}"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
-    rows = rows.mapInArrow(_emit("doc_id", _filter(items)), f"doc_id long, text_hash long, {_ROWS}").drop("tokens")
+    short = items.filter(F.col("plain") & (F.col("tokens") < WINDOW)).select("tokens").distinct()
+    short = tuple(sorted(size for (size,) in short.collect()))  # four sizes at most
+    rows = rows.mapInArrow(_emit(_filter(items), short), f"doc_id long, text_hash long, {_ROWS}").drop("tokens")
     items = items.withColumnsRenamed({"pos": "item_pos", "fillers": "item_fillers"})
-    met = rows.join(items, "window")
+    met = rows.join(items, ["window", "plain"])
     drift = F.col("pos") - F.col("item_pos")
     # two grids, shifted by half a step, so that a passage that drifts is whole in one of them
     grids = F.array(
         (F.floor(drift / DRIFT) * 2).cast("long"), (F.floor((drift + DRIFT // 2) / DRIFT) * 2 + 1).cast("long")
     )
     met = met.withColumn("place", F.explode(grids)).dropDuplicates(
-        ["doc_id", "text_hash", "item_id", "place", "pos", "item_pos"]
+        ["doc_id", "text_hash", "item_id", "plain", "place", "pos", "item_pos"]
     )
     met = stage(met)
     # with fewer windows a passage can be neither long nor covering

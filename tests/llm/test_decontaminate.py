@@ -56,3 +56,28 @@ def test_number_words_alone_are_no_template(spark, edges):
     bench = spark.createDataFrame([(1, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "20 30 40 50 60 70 80 90 100 110 120 130 140 150 160")], "doc_id long, text string")
     assert decontaminate.leaks(docs, bench).count() == 0
+
+
+def test_verbatim_copies(spark):
+    """Copies of items that are nearly all numbers, hold names in other capitals, or are shorter than a window."""
+    items = [
+        (1, "What is 12 + 34 + 56 + 78 + 90 + 11?"),
+        (2, "The next term of 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024 is"),
+        (3, QUESTION),
+        (4, "Capital of France?"),
+        (5, "?!"),
+    ]
+    rows = [(10 * i + k, f"Something before it. {c} Something after it.") for i, t in items[:4] for k, c in enumerate((t, t.upper(), t.lower()))]
+    others = [(1, "What is 13 + 35 + 57 + 79 + 91 + 12?"), (2, "The capital of Peru, and France"), (3, "of France? Capital"), (4, "?!")]
+    docs = spark.createDataFrame(rows + others, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.leaks(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(d, d // 10) for d, _ in rows]
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == [1, 2, 3, 4]
+
+
+def test_short_item_in_a_long_text(spark):
+    """An item of one word is one match a document, however often the word stands there."""
+    docs = spark.createDataFrame([(1, "word " * 200_000), (2, "words")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Word!")], "item_id long, text string")
+    assert [(r.doc_id, r.coverage) for r in decontaminate.leaks(docs, bench).collect()] == [(1, 1.0)]
