@@ -22,6 +22,8 @@ RESPONSE_TYPE, METADATA_TYPE, TEXT_TYPE = "application/http;msgtype=response", "
 # Markup elements whose content is no text, elements that end a line,
 # and the named character references that are resolved (the ampersand last).
 SILENT = ("script", "style", "noscript", "template", "head")
+#: Of these a head is told by what stands in it, as its end tag may be left out.
+_RAW = "|".join(t for t in SILENT if t != "head")
 BLOCKS = (
     "address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " header hr li main nav ol p pre section table td th tr ul"
@@ -82,11 +84,15 @@ def responses(pages: DataFrame, date: str = EPOCH) -> DataFrame:
 def text_of(html: Column) -> Column:
     """Plain text of markup: silent elements and tags go, blocks end lines, references are resolved.
 
-    A comment or silent element that isn't closed reaches to the end.
+    A comment or silent element that isn't closed reaches to the end. Of them the one
+    that begins first counts, so signs of another inside it mean nothing. A head may
+    lack its end tag, so what goes is what it can hold: its tags, silent elements and
+    the title; other text ends a head. An unclosed title ends with the head.
     """
-    text = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
-    for tag in SILENT:
-        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)", "")
+    text = F.regexp_replace(html, rf"(?is)<!--.*?(?:-->|\z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\z)", "")
+    # the title of a drawing is text
+    title = r"<title\b[^>]*>.*?(?:</title\s*>|(?=</head\s*>|<body\b)|\z)"
+    text = F.regexp_replace(text, rf"(?is)(<svg\b[^>]*>.*?(?:</svg\s*>|\z))|{title}", "$1")
     text = F.regexp_replace(text, rf"(?i)</?(?:{'|'.join(BLOCKS)})\b[^>]*>", "\n")
     text = F.regexp_replace(text, r"<[^<>]*>", "")
     for name, sign in REFERENCES:

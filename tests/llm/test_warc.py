@@ -67,3 +67,22 @@ def test_edges(spark):
     assert len(got) == 2 * len(rows)
     assert all(r.block == "" and r.length == 0 for r in got if r.type == "conversion")
     assert warc.derive(warc.responses(df.limit(0))).count() == 0
+
+
+def test_text_after_open_heads_and_in_scripts(spark):
+    """A head without its end tag ends at the body; what looks like a comment in a script is none."""
+    pages = {
+        "<html><head><meta charset=x><title>T</title><body><p>One</p></body></html>": "One",
+        "<head><title>Use <b> here</title><script>1 < 2</script><link rel=x><p>Two": "Two",
+        "<head><title>T</title></head><body><script>var x = '<!--';</script>Three</body>": "Three",
+        "<HEAD><TITLE>T</TITLE><STYLE>p{}</STYLE></HEAD>Four<!-- <script> --> five": "Four five",
+        "<p>Six</p><svg><title>seven</title></svg><header>eight</header>": "Six\nseven\neight",
+        "<head><title>T</title>": "",
+        "<head><title>T</title>Nine <b>ten</b>": "Nine ten",
+        "<head><title>T</head><body>Eleven": "Eleven",
+        "<title>" * 50_000 + "<svg>" * 50_000: "",
+    }
+    df = spark.createDataFrame([(i, "u", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in warc.derive(warc.responses(df)).collect() if r.type == "conversion"}
+    assert [got[i].block for i in range(len(pages))] == list(pages.values())
+    assert all(r.length == len(r.block) and r.block_digest == digest(r.block) for r in got.values())
