@@ -116,9 +116,9 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([nodes[part.start : part.stop], lists], ["node", "bands"])
 
 
-def banded(rows: DataFrame) -> DataFrame:
+def banded(rows: DataFrame, banding=_banded) -> DataFrame:
     """(node, bands), one row per distinct line."""
-    return rows.select("node", "line").mapInArrow(_banded, "node long, bands array<long>").dropDuplicates(["node"])
+    return rows.select("node", "line").mapInArrow(banding, "node long, bands array<long>").dropDuplicates(["node"])
 
 
 def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -150,23 +150,26 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose lines have a Jaccard similarity of SIMILAR or more."""
+def _similar(pairs: DataFrame, texts: DataFrame, comparing=_compared) -> DataFrame:
+    """The pairs (a, b) of nodes whose lines are similar enough for ``comparing``."""
     one = texts.select(F.col("node").alias("a"), F.col("line").alias("x"))
     two = texts.select(F.col("node").alias("b"), F.col("line").alias("y"))
     met = pairs.join(one, "a").join(two, "b")
-    return met.select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long")
+    return met.select("a", "b", "x", "y").mapInArrow(comparing, "a long, b long")
 
 
-def links(rows: DataFrame) -> DataFrame:
-    """(a, b): links between nodes of lines; enough of them to connect all that are similar."""
-    keys = banded(rows).select("node", F.explode("bands").alias("band"))
+def links(rows: DataFrame, banding=_banded, comparing=_compared) -> DataFrame:
+    """(a, b): links between nodes of lines; enough of them to connect all that are similar.
+
+    ``banding`` and ``comparing`` say what similar means, by default as in the module's head.
+    """
+    keys = banded(rows, banding).select("node", F.explode("bands").alias("band"))
     bucket = Window.partitionBy("band")
     met = keys.select("node", "band", F.min("node").over(bucket).alias("head"), F.max("node").over(bucket).alias("last"))
     met = stage(met.filter("head < last").select("node", "band", "head"))
     texts = stage(_among(rows.select("node", "line"), met.select("node").distinct()).dropDuplicates(["node"]))
     stars = met.filter("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    first = stage(_similar(stars, texts))
+    first = stage(_similar(stars, texts, comparing))
     roots = components(first)
     merged = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     same = Window.partitionBy("band")
@@ -178,7 +181,7 @@ def links(rows: DataFrame) -> DataFrame:
     )
     rest = rest.filter("x.node <> x.head")  # pairs with the bucket's head have been compared
     rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return first.unionAll(_similar(rest, texts))
+    return first.unionAll(_similar(rest, texts, comparing))
 
 
 def duplicates(docs: DataFrame) -> DataFrame:

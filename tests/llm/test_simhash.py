@@ -91,3 +91,22 @@ def test_components_of_paths_stars_and_nothing(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(path + star + noise, "x long, y long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 1000 for i in range(1000, 1050)}
     assert components(spark.createDataFrame([], "x long, y long")).count() == 0
+
+
+def test_near_copies_go(spark):
+    """Texts of a Jaccard similarity of 0.8 over five words go, wherever their words are changed; others stay."""
+    rng = random.Random(4)
+    rows, want = [], []
+    for n, changes in ((12, 0), (30, 1), (100, 1), (200, 1), (200, 3), (500, 5), (100, 12), (200, 30)):
+        for _ in range(12):
+            words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            other = words.copy()
+            for at in rng.sample(range(n), changes):
+                other[at] = "changed"
+            one, two = ({tuple(w[i : i + 5]) for i in range(n - 4)} for w in (words, other + ["more"] * (changes == 0)))
+            i = len(rows)
+            rows += [(i, " ".join(words)), (i + 1, " ".join(other).upper() + " more" * (changes == 0))]
+            want += [i] if len(one & two) >= 0.8 * len(one | two) else [i, i + 1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in simhash.representatives(docs).collect())
+    assert len(want) < 1.5 * len(rows) / 2 and got == want
