@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitslices, decontaminate, licenses, lines, mixing, pii, simhash, toxicity, training_order, warc
+from . import (
+    bitslices,
+    collocations,
+    decontaminate,
+    hard_negatives,
+    licenses,
+    lines,
+    minhash,
+    mixing,
+    pii,
+    simhash,
+    toxicity,
+    training_order,
+    warc,
+)
 from .common import documents, read
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +105,24 @@ def op10_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(documents(spark, sf)).drop("text_hash")
 
 
+@query
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    other = F.col("vec_id") % 7 == 0
+    label = F.when(other, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(read(spark, sf, "embeddings"), "vec_id", "embedding", label)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+@query
+def op13_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf))
+
+
 #: Brute force over all pairs of a query and another row.
 OP1_SQL = """
 WITH usable AS (
@@ -171,5 +203,111 @@ FROM records
 """
 
 
+_SQL_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Every phrase of one to four words is counted.
+OP11_SQL = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_SQL_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+),
+worded AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+),
+phrases AS (
+    SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM worded, (SELECT unnest([1, 2, 3, 4]) AS size))
+),
+counted AS (SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang),
+frequent AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE f >= 30),
+cuts AS (
+    SELECT lang, phrase, f AS a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 :], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM frequent WHERE size > 1)
+),
+scores AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score, k
+    FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = c.head JOIN frequent y ON y.lang = c.lang AND y.phrase = c.tail
+),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (
+    SELECT lang, array_to_string(w[i : i + n - 1], ' ') AS phrase, max(f) AS longer
+    FROM (SELECT *, unnest(range(1, size - n + 2)) AS i
+          FROM (SELECT *, unnest(range(2, size)) AS n FROM frequent WHERE size > 2))
+    GROUP BY ALL
+),
+kept AS (
+    SELECT b.* FROM best b LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE i.longer IS NULL OR 100 * i.longer < 80 * b.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept JOIN totals USING (lang))
+WHERE rank <= 2000
+"""
+
+#: Brute force over all pairs of an anchor and another row.
+OP12_SQL = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label = c.label AS alike, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM usable a JOIN usable c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+    WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+           CAST(row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS INTEGER) AS positive_rank
+    FROM scored WHERE alike QUALIFY positive_rank <= 5
+)
+SELECT p.anchor_id, p.positive_id, p.positive_rank,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
+WHERE 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY rank <= 5
+"""
+
+#: Every two documents that share a shingle are compared, and links followed to their end.
+OP13_SQL = f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(string_split_regex({_SQL_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) END AS s
+    FROM worded
+),
+single AS (SELECT doc_id, hash(unnest(s)) AS x FROM sets),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM single a JOIN single b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM common JOIN sets s ON s.doc_id = a JOIN sets t ON t.doc_id = b
+    WHERE 100 * shared >= 85 * (len(s.s) + len(t.s) - shared)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sets
+    UNION
+    SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_bit_sliced_top_k": OP1_SQL, "op7_warc_derivatives": OP7_SQL}
+    return {
+        "op1_bit_sliced_top_k": OP1_SQL,
+        "op7_warc_derivatives": OP7_SQL,
+        "op11_collocations": OP11_SQL,
+        "op12_hard_negatives": OP12_SQL,
+        "op13_minhash": OP13_SQL,
+    }
