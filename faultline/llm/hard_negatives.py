@@ -112,7 +112,7 @@ def intervals(anchor: Anchor, block: Block, wanted: Callable, rows: np.ndarray)
         # what is left over is at right angles to the last code, so only that part of the anchor counts
         across = anchor.norm**2 - np.maximum(0, np.abs(product) - anchor.error(level)) ** 2
         wide = doubt + block.norms[level][rows] * np.sqrt(np.maximum(0, across)) + SLACK * anchor.norm * block.size[rows]
-        keep = wanted(rows, middle - wide, middle + wide)
+        keep = wanted(rows, *np.clip((middle - wide, middle + wide), LEAST, MOST))
         rows, middle, doubt = rows[keep], middle[keep], doubt[keep]
     return rows
 
@@ -191,7 +191,7 @@ def _pairs(groups: DataFrame, index: DataFrame, schema: str, search: Callable) -
         dims = int(key[0])
         one, rows = group.iloc[0], Block(block.iloc[0], dims)
         turns = [rotation(dims, level) for level in range(len(rows.along))]
-        values = np.frombuffer(one["values"], np.int64).reshape(-1, dims)
+        values = np.frombuffer(one["values"], np.int64).reshape(len(one["ids"]), dims)
         found = []
         for place in range(len(values)):
             anchor = Anchor(values[place], turns)
