@@ -14,6 +14,7 @@ from .plans import jobs
 from .session import session
 from .sources.export import preview
 from .sources.tables import read_table, table_history
+from .streaming.ledger import Accounts
 
 
 def _pairs(values: list[str]) -> dict[str, str]:
@@ -51,6 +52,12 @@ def _parser() -> argparse.ArgumentParser:
         _timing(p)
         if name == "quakes":
             p.add_argument("--rejects", help="table of messages left out, with the reason")
+    p = job("account", "feed", "root", "checkpoint")
+    p.add_argument("--source", default="kafka", help="kafka, text or a file format")
+    p.add_argument("--path", help="folder of messages, for file sources")
+    p.add_argument("--option", action="append", default=[], help="source option, key=value")
+    p.add_argument("--late-after", help="rows this far behind the newest are late, e.g. '15 minutes'")
+    _timing(p)
     p = job("sites", "csv", "table")
     p.add_argument("--mode", default="append", choices=["append", "overwrite"])
     p = job("proximity", "quakes", "sites", "km", "table", "checkpoint")
@@ -105,6 +112,10 @@ def main(argv: list[str] | None = None) -> int:
             spark.streams.awaitAnyTermination()  # whichever fails ends the job
         for query in started:
             query.awaitTermination()
+    elif args.job == "account":
+        source = {"fmt": args.source, "path": args.path, **_pairs(args.option)}
+        jobs.account_feed(spark, args.feed, source, args.root, args.checkpoint, args.late_after, now, fmt).awaitTermination()
+        preview(Accounts(args.root).totals(spark, fmt), 100)
     elif args.job == "sites":
         jobs.ingest_sites(spark, args.csv, args.table, args.mode, fmt)
     elif args.job == "proximity":

@@ -33,11 +33,11 @@ def once(df: DataFrame, name: str, column: Column) -> DataFrame:
     return df.withColumn(name, F.explode_outer(F.array(column)))
 
 
-def _parsed(schema: T.StructType) -> Column:
-    """``value`` under ``schema`` plus a field for the text of a bad record."""
+def _parsed_from(name: str, schema: T.StructType) -> Column:
+    """Column ``name`` under ``schema`` plus a field for the text of a bad record."""
     fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
     return F.from_json(
-        F.col("value").cast("string"),
+        F.col(name).cast("string"),
         T.StructType(fields),
         {"columnNameOfCorruptRecord": CORRUPT},
     )
@@ -47,10 +47,11 @@ def parse_events(raw: DataFrame, drop_null: bool = True) -> DataFrame:
     """``json_string`` and the parsed ``message``.
 
     Only NULL and empty input parse to NULL; other bad input gives a message of
-    NULLs that fails the later checks.
+    NULLs that fails the later checks. Where ``raw`` has the time of arrival,
+    ``timestamp``, it is kept as ``arrived_at``.
     """
-    parsed = once(raw.select(F.col("value").cast("string")), "message", _parsed(EVENT_MESSAGE))
-    parsed = parsed.select(F.col("value").alias("json_string"), "message")
+    arrival = [F.col("timestamp").alias("arrived_at")] if "timestamp" in raw.columns else []
+    parsed = once(raw.select(F.col("value").cast("string").alias("json_string"), *arrival), "message", _parsed_from("json_string", EVENT_MESSAGE))
     return parsed.filter(F.col("message").isNotNull()) if drop_null else parsed
 
 
@@ -97,7 +98,7 @@ def ingest_events(raw: DataFrame) -> DataFrame:
 
 def parse_stations(raw: DataFrame) -> DataFrame:
     """Parsed ``station`` message beside the arrival time."""
-    parsed = once(raw, "station", _parsed(STATION_MESSAGE)).filter(F.col("station").isNotNull())
+    parsed = once(raw, "station", _parsed_from("value", STATION_MESSAGE)).filter(F.col("station").isNotNull())
     return parsed.select("station", F.col("timestamp").alias("kafka_timestamp"))
 
 
@@ -140,6 +141,7 @@ def tag_events(raw: DataFrame) -> DataFrame:
         parsed.select(
             "json_string",
             "message",
+            *[c for c in parsed.columns if c == "arrived_at"],
             F.col(f"message.{CORRUPT}").alias("corrupt"),
             *[c.alias(n) for n, c in _event_columns().items()],
         )
@@ -148,6 +150,27 @@ def tag_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def tag_stations(raw: DataFrame) -> DataFrame:
+    """Station rows with the raw text and a ``reject_reason``, NULL if accepted; as ``tag_events``."""
+    value = F.col("value").cast("string").alias("json_string")
+    texts = raw.select(value, F.col("timestamp").alias("kafka_timestamp"))
+    parsed = once(texts, "station", _parsed_from("json_string", STATION_MESSAGE))
+    flat = parsed.select("json_string", "kafka_timestamp", F.col("station").isNull().alias("_empty"), "station.*")
+    lat, lon = F.col("latitude"), F.col("longitude")
+    missing = F.col("region").isNull() | F.col("create_at").isNull()
+    rejected = missing | ~F.coalesce(valid_coords(lat, lon), F.lit(False))
+    reason = (
+        F.when(F.col("_empty"), "empty")
+        .when(F.col(CORRUPT).isNotNull() & F.try_parse_json("json_string").isNull(), "malformed_json")
+        .when(F.col("region").isNull(), "missing_region")
+        .when(F.col("create_at").isNull(), "missing_create_at")
+        .when(lat.isNull() | lon.isNull(), "missing_coordinates")
+        .otherwise("out_of_range")
+    )
+    times = {"create_at_ts": ts(F.col("create_at")), "update_at_ts": ts(F.col("update_at"))}
+    return flat.withColumns(times | {"reject_reason": F.when(rejected, reason)}).drop("_empty", CORRUPT)
+
+
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted event rows, rejected messages with their reason)."""
     tagged = tag_events(raw)
