@@ -4,12 +4,17 @@ Which sites can be nearest to a point of a given cell depends on the sites
 alone. So the sites are turned once into a table of cells with the few
 candidates each can have, and events look up their one cell: no cross join, no
 sort of all pairs, and in the broadcast case no shuffle of events.
+
+The cells are the leaves of a quadtree whose inner cells hold many sites. A small
+map of the inner cells tells an event which leaf it lies in.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +23,16 @@ from pyspark.sql.window import Window
 from ..functions.cells import (
     FACES,
     MAX_LEVEL,
-    cell_id,
     centre,
+    coarser,
+    fine_cell,
     half_angle,
+    half_angle_sql,
     pack,
+    unpacked,
     with_all_cells,
     with_child_cells,
+    with_near_cells,
 )
 from ..functions.geo import DISTANCES, EARTH_RADIUS_KM, chord_squared, dot, with_unit_vector
 from ..session import scratch_dir, stage
@@ -31,9 +40,20 @@ from .distance_join import choose
 from .hotkeys import BROADCAST_BYTES, HOT_ROWS, salted_join
 
 CELL = ["face", "i", "j"]
+LEAF = ["face", "level", "i", "j"]
 SITE = ["site_id", "site_lat", "site_lon", "_sx", "_sy", "_sz"]
 SEED_PAIRS = 200_000_000
 ROW_SITES = 4096
+#: Up to so many sites the index is built from coarse cells down, in fewer and lighter jobs.
+FEW_SITES = 4096
+#: Levels of cells that one row of the map of inner cells spans.
+STRIDE = 4
+#: Levels above a leaf's of the cells in which it meets sites.
+COARSE = 2
+#: Times that leaves with too many candidates are cut, and by how many levels.
+CUTS, CUT_LEVELS = 3, 2
+#: Half angles around a cell's centre within which cells count as beside it.
+BESIDE = 0.8
 # Sites whose distances differ by less than this many radians (6 m) both stay
 # candidates; wider than rounding and than the 1e-6 km used to break ties.
 _MARGIN = 1e-9
@@ -41,12 +61,18 @@ _MARGIN = 1e-9
 
 @dataclass(frozen=True)
 class SiteIndex:
-    """``cells``: one row per cell with an array of candidate ``sites``."""
+    """``cells``: one row per leaf with an array of candidate ``sites``.
+
+    ``inner`` has, for inner cells of every STRIDE-th level, the level of the leaf
+    around each cell STRIDE levels below, or -1 where the leaf is deeper still.
+    """
 
     cells: DataFrame
+    inner: DataFrame
     levels: tuple[int, ...]
     k: int
     size: int
+    inner_size: int
     split: bool  # some cell has its candidates in several rows
 
 
@@ -106,51 +132,153 @@ def _start_level(sites: int) -> int:
     return max(1, round(math.log2(cells / FACES) / 2))
 
 
-def _leaf_rows(pairs: DataFrame, level: int, n: Column, per_row: int) -> DataFrame:
-    # Candidates of a cell with more than per_row are dealt out over several rows.
-    chunk = F.pmod(F.xxhash64(*SITE), F.greatest(F.lit(1), F.ceil(n / per_row)))
+def _leaves(points: DataFrame, k: int, per_leaf: int) -> DataFrame:
+    """(face, level, i, j): a partition of the sphere, with each cell's centre and reach.
+
+    A cell is cut if it or a cell beside it has a child with more than ``per_leaf``
+    sites; so cells are no larger than about their distance from dense sites. Sites are
+    counted by their finest cell first, then every cell above it; both counts are
+    combined before they are shuffled.
+    """
+    fine = points.select(*fine_cell("_s")).groupBy("face", "i", "j").agg(F.count(F.lit(1)).alias("_n"))
+    above = fine.select("face", F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))).alias("level"), "i", "j", "_n")
+    i, j = coarser("level")
+    counts = above.groupBy("face", "level", F.expr(i).alias("i"), F.expr(j).alias("j")).agg(F.sum("_n").alias("_n"))
+    # With the centre of the cell above, written out: the search for cells would otherwise work it out many times.
+    up = ["face", "level - 1 AS level", "shiftright(i, 1) AS i", "shiftright(j, 1) AS j"]
+    higher = f"transform(array(named_struct('face', face, 'level', level - 1, 'i', shiftright(i, 1), 'j', shiftright(j, 1))), u -> {_centre_of('u')})[0]"
+    counts = stage(counts.selectExpr("*", f"if(_n > {per_leaf} AND level > 0, {higher}, null) AS _up"))
+    full = counts.filter("_up IS NOT NULL").selectExpr(*up, "_up.*").dropDuplicates(LEAF)
+    counts = counts.drop("_up")
+    beside = with_near_cells(full, "_c", "_radius", "level").select("cell")
+    beside = beside.distinct().selectExpr(*unpacked("cell")).selectExpr("*", "explode(sequence(0, level)) AS _up")
+    inner = beside.selectExpr("face", "level - _up AS level", "shiftright(i, _up) AS i", "shiftright(j, _up) AS j")
+    inner = inner.unionByName(counts.filter(F.col("_n") > per_leaf).filter("level = 0").select(*LEAF)).distinct()
+    below = with_child_cells(inner).withColumn("level", F.col("level") + 1)
+    faces = points.sparkSession.range(6).selectExpr("id AS face", "0 AS level", "0L AS i", "0L AS j")
+    cells = below.unionByName(faces).join(inner, LEAF, "left_anti")
+    parents = counts.selectExpr("face", "level + 1 AS level", "i AS _pi", "j AS _pj", "_n AS _above")
+    cells = cells.selectExpr("*", "shiftright(i, 1) AS _pi", "shiftright(j, 1) AS _pj")
+    cells = cells.join(parents, ["face", "level", "_pi", "_pj"], "left").join(counts, LEAF, "left")
+    cells = cells.select(*LEAF, F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_above", F.lit(0)).alias("_above"))
+    return cells.selectExpr(
+        *LEAF, f"greatest(level - {COARSE}, 0) AS _at", f"{_reach(k)} AS _reach",
+        *[f"{c} AS _c{a}" for c, a in zip(centre("level"), "xyz")],
+    )
+
+
+def _centre_of(cell: str) -> str:
+    """SQL for the centre of the struct ``cell``, and how far from it cells count as beside it."""
+    x, y, z = (re.sub(r"\b(face|level|i|j)\b", rf"{cell}.\1", c) for c in centre("level"))
+    radius = f"{BESIDE} * {half_angle_sql(f'{cell}.level')}"
+    return f"named_struct('_cx', {x}, '_cy', {y}, '_cz', {z}, '_radius', {radius})"
+
+
+def _reach(k: int) -> str:
+    """SQL for the angle around a leaf's centre within which all its candidates lie.
+
+    Some k sites lie within some angle of the centre: in the leaf itself, in its
+    parent, or else in a cell beside that. From any point of the leaf, half an angle h
+    away at most, they are within h more, and so is each of its k nearest sites.
+    """
+    h, parent = half_angle_sql("level"), half_angle_sql("(level - 1)")
+    known = f"CASE WHEN level = 0 THEN pi() WHEN _n >= {k} THEN {h} WHEN _above >= {k} THEN 2 * {parent}"
+    return f"least(pi(), {known} ELSE {BESIDE + 3} * {parent} END + 2 * {h} + 1e-9D)"
+
+
+def _pairs(leaves: DataFrame, points: DataFrame, levels: tuple[int, int]) -> DataFrame:
+    """(leaf, site) for every site within a leaf's reach; they meet in cells COARSE levels above the leaf's."""
+    around = leaves.withColumn("_leaf", F.struct("face", "i", "j"))
+    around = with_near_cells(around, "_c", "_reach", "_at").drop("_at")
+    spots = points.select(*SITE, *fine_cell("_s"))
+    first, last = (max(n - COARSE, 0) for n in levels)
+    spots = spots.withColumn("_at", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    spots = spots.select(*SITE, pack("_at", "face", *coarser("_at")).alias("cell"))
+    met = around.join(spots, "cell").filter(f"{dot('_c', '_s')} >= cos(_reach) - 1e-15D")
+    return met.select("_leaf.face", "level", "_leaf.i", "_leaf.j", *SITE)
+
+
+def _pruned(pairs: DataFrame, k: int) -> DataFrame:
+    """Drops (leaf, site) pairs with k sites nearer all over the leaf.
+
+    The nearest of each of k groups of sites makes k rivals. They lie within some
+    angle of the leaf's centre, so sites more than 2 h beyond that are out. Of the
+    others, many lie behind a rival: with r nearer the centre c, every point p of the
+    leaf is nearer to r than to s when p.(r - s) > 0 over the whole cap of radius h
+    around c, that is when (c.v) cos h - |v - (c.v) c| sin h > 0, v = r - s.
+    """
+    pairs = pairs.selectExpr("*", *[f"{c} AS _c{a}" for c, a in zip(centre("level"), "xyz")])
+    pairs = pairs.selectExpr("*", f"{dot('_c', '_s')} AS _dot", f"{half_angle_sql('level')} AS _h")
+    group = F.expr(f"pmod(xxhash64(site_id), {k})").alias("_group")
+    # Column by column, so that it is a hash aggregate; all of them take the same row.
+    nearest = [F.max("_dot").alias("_dot"), *(F.max_by(f"_s{a}", "_dot").alias(f"_s{a}") for a in "xyz")]
+    rival = F.collect_list(F.struct("_dot", "_sx", "_sy", "_sz")).alias("_rivals")
+    top = pairs.groupBy(*LEAF, group).agg(*nearest).groupBy(*LEAF).agg(rival)
+    # With fewer groups than k a leaf keeps all it has. 1e-7 covers rounding in acos.
+    floor = "array_min(transform(_rivals, r -> r._dot))"
+    floor = f"cos(least(acos(least({floor}, 1D)) + 2 * {half_angle_sql('level')} + 1e-7D, pi())) - 1e-15D"
+    top = top.selectExpr(*LEAF, f"if(size(_rivals) < {k}, null, _rivals) AS _rivals", f"if(size(_rivals) < {k}, -2D, {floor}) AS _floor")
+    along = f"({dot('_c', 'r._s')} - _dot)"
+    apart = f"({chord_squared('r._s', '_s')})"
+    not_beaten = (
+        f"exists(_rivals, r -> {along} * cos(_h)"
+        f" - sqrt(greatest(0D, {apart} - {along} * {along})) * sin(_h) <= {_MARGIN}D)"
+    )
+    near = pairs.join(top, LEAF).filter("_dot >= _floor")
+    return near.filter(f"_rivals IS NULL OR {not_beaten}").select(*LEAF, *SITE)
+
+
+def _leaf_rows(pairs: DataFrame, per_row: int | None) -> DataFrame:
+    """(cell, sites); candidates of a cell with more than ``per_row`` are dealt out over several rows."""
+    chunk = F.pmod(F.xxhash64(*SITE), F.greatest(F.lit(1), F.ceil(F.col("_n") / per_row))) if per_row else F.lit(0)
     return (
-        pairs.withColumn("cell", pack(level))
+        pairs.withColumn("cell", pack("level"))
         .groupBy("cell", chunk.alias("_chunk"))
         .agg(F.collect_list(F.struct(*SITE)).alias("sites"))
         .select("cell", "sites")
     )
 
 
-def build_site_index(
-    sites: DataFrame,
-    k: int = 1,
-    per_cell: int | None = None,
-    per_row: int = ROW_SITES,
-    path: str | None = None,
-) -> SiteIndex:
-    """Candidate table for the ``k`` nearest sites (site_id, site_lat, site_lon).
+def _inner(leaves: DataFrame) -> DataFrame:
+    """The map of inner cells: (cell, levels), levels having one entry for each cell STRIDE levels below."""
+    base = f"(greatest(0, level - 1) div {STRIDE} * {STRIDE})"
+    rest = f"cast({base} + {STRIDE} - level AS int)"
+    side = f"shiftleft(1L, {rest})"
+    each = leaves.selectExpr("face", "level", "i", "j", f"cast({base} AS int) AS _base", f"explode(sequence(0L, {side} * {side} - 1)) AS _n")
+    shallow = each.selectExpr(
+        "face", "_base", f"shiftleft(i, {STRIDE} + _base - level) + _n div shiftleft(1L, {STRIDE} + _base - level) AS i",
+        f"shiftleft(j, {STRIDE} + _base - level) + _n % shiftleft(1L, {STRIDE} + _base - level) AS j", "level AS _level",
+    )
+    above = leaves.selectExpr("face", "level", "i", "j", f"explode(sequence(0, level, {STRIDE})) AS _at").filter("_at > 0 AND _at < level")
+    above = above.selectExpr("face", f"_at - {STRIDE} AS _base", "shiftright(i, level - _at) AS i", "shiftright(j, level - _at) AS j", "-1 AS _level")
+    entries = shallow.unionByName(above.distinct())
+    cell = pack("_base", "face", f"shiftright(i, {STRIDE})", f"shiftright(j, {STRIDE})").alias("cell")
+    place = f"(i % {1 << STRIDE}) * {1 << STRIDE} + j % {1 << STRIDE}"
+    listed = entries.groupBy(cell).agg(F.array_sort(F.collect_list(F.struct(F.expr(place).alias("at"), F.col("_level").cast("byte").alias("level")))).alias("_all"))
+    return listed.select("cell", F.transform("_all", lambda x: x["level"]).alias("levels"))
+
+
+@dataclass
+class _Built:
+    """Leaves so far: tables of (cell, sites), their levels, bytes and number."""
+
+    rows: list[DataFrame] = field(default_factory=list)
+    levels: list[int] = field(default_factory=list)
+    size: int = 0
+    cells: int = 0
+    split: bool = False
 
-    Starts from coarse cells and quarters those with more than ``per_cell``
-    candidates; children inherit only their parent's. Dense areas get small
-    cells, empty ones stay coarse. Each round is a distributed job over the
-    cells still too full; the driver sees counts only. Cells that stay full, as
-    around a point that many sites are equally far from, are left at the deepest
-    level, or earlier once they multiply; they keep all their candidates,
-    ``per_row`` to a row.
+
+def _top_down(points: DataFrame, n: int, k: int, per_cell: int, per_row: int, root: str) -> _Built:
+    """Starts from coarse cells with all sites each and quarters those with more than ``per_cell`` candidates.
+
+    Children inherit only their parent's. Cells that stay full are left at the deepest
+    level, or earlier once they multiply.
     """
-    per_cell = per_cell or 16 + 8 * k
-    root = path or scratch_dir(sites.sparkSession)
-    points = sites.select("site_id", "site_lat", "site_lon").dropna(subset=["site_lat", "site_lon"])
-    points = points.filter(~F.isnan("site_lat") & ~F.isnan("site_lon"))
-    # Of sites at one point only the k lowest ids can matter.
-    if k == 1:
-        points = points.groupBy("site_lat", "site_lon").agg(F.min("site_id").alias("site_id"))
-    else:
-        at = Window.partitionBy("site_lat", "site_lon").orderBy("site_id")
-        points = points.withColumn("_rn", F.row_number().over(at)).filter(F.col("_rn") <= k).drop("_rn")
-    # Spread out, as each point is about to become one row per cell.
-    points = points.repartition(sites.sparkSession.sparkContext.defaultParallelism, "site_id")
-    points = stage(with_unit_vector(points, "site_lat", "site_lon", "_s"), f"{root}/points")
-    n = points.count()
+    points = points.repartition(points.sparkSession.sparkContext.defaultParallelism, "site_id")
     level = _start_level(n)
     pairs, cells = with_all_cells(points, level), FACES << 2 * level
-    leaves, levels, size, split = None, [], 0, False
+    built = _Built()
     first, fullness = level, math.inf
     full = F.col("_n") > per_cell
     while True:
@@ -179,21 +307,128 @@ def build_site_index(
         if seen.cells > (0 if last else seen.full):
             crowded = last and seen.most > per_row
             if crowded:
-                leaf, split = kept.join(counts.drop("_bytes"), CELL), True
-            rows = _leaf_rows(leaf, level, F.col("_n") if crowded else F.lit(1), per_row)
-            rows = stage(rows, f"{root}/cells-{level}")
-            leaves = rows if leaves is None else leaves.unionByName(rows)
-            levels, size = [*levels, level], size + (seen.bytes if last else seen.leaf_bytes)
+                leaf, built.split = kept.join(counts.drop("_bytes"), CELL), True
+            rows = _leaf_rows(leaf.withColumn("level", F.lit(level)), per_row if crowded else None)
+            built.rows.append(rows)
+            built.levels.append(level)
+            built.size += seen.bytes if last else seen.leaf_bytes
+            built.cells += seen.cells
         if last:
-            break
+            return built
         # Few pairs left, or nothing gained by the last step: take a longer one.
         room = SEED_PAIRS if stuck else SEED_PAIRS // 100
         step = 3 if seen.pairs << 6 <= room and level + 3 <= MAX_LEVEL else 1
         pairs, cells, level = with_child_cells(rest, step), seen.full << 2 * step, level + step
         fullness = seen.pairs / seen.full
-    if leaves is None:
-        leaves, levels = _leaf_rows(points.withColumns({c: F.lit(0) for c in CELL}), 0, F.lit(1), 1), [0]
-    return SiteIndex(leaves, tuple(levels), k, size, split)
+
+
+def _bottom_up(points: DataFrame, k: int, per_cell: int, per_row: int, per_leaf: int, root: str) -> _Built:
+    """Counts sites by fine cells; the leaves are the largest cells with few sites in them and beside them.
+
+    A leaf meets the sites of the cells around it, as far as a candidate can lie, and
+    those that k others beat all over the leaf are dropped. Leaves beside dense sites
+    may still have more than ``per_cell`` candidates; they are cut CUTS times at most,
+    children inherit only their parent's. So the number of jobs doesn't grow with the
+    density.
+    """
+    leaves = stage(_leaves(points, k, per_leaf), f"{root}/leaves")
+    depth = leaves.agg(F.min("level"), F.max("level")).first()
+    met = stage(_pairs(leaves, points, depth), f"{root}/met")
+    pairs = stage(_pruned(met, k), f"{root}/pairs-0")
+    built, cut = _Built(), 0
+    while True:
+        counts = pairs.groupBy(*LEAF).agg(
+            F.count(F.lit(1)).alias("_n"),
+            (F.sum(F.octet_length(F.col("site_id").cast("string")) + 96) + 64).alias("_bytes"),
+        )
+        deep = (F.col("level") > MAX_LEVEL - CUT_LEVELS) | (F.lit(cut) == CUTS)
+        full = (F.col("_n") > per_cell) & ~deep
+        seen = counts.agg(
+            F.count_if(full).alias("full"),
+            F.count_if(~full).alias("cells"),
+            F.coalesce(F.max(F.when(~full, F.col("_n"))), F.lit(0)).alias("most"),
+            F.coalesce(F.sum(F.when(~full, F.col("_bytes"))), F.lit(0)).alias("bytes"),
+            F.collect_set(F.when(~full, F.col("level"))).alias("levels"),  # at most MAX_LEVEL + 1
+        ).first()
+        leaf, rest = pairs, None
+        if seen.full or seen.most > per_row:
+            counted = pairs.join(counts.drop("_bytes"), LEAF)
+            leaf, rest = counted.filter(~full), counted.filter(full).select(*LEAF, *SITE)
+        rows = _leaf_rows(leaf, per_row if seen.most > per_row else None)
+        built.rows.append(rows)
+        built.levels += seen.levels
+        built.size, built.cells = built.size + seen.bytes, built.cells + seen.cells
+        built.split |= seen.most > per_row
+        if not seen.full:
+            return built
+        children = with_child_cells(rest, CUT_LEVELS).withColumn("level", F.col("level") + CUT_LEVELS)
+        cut += 1
+        pairs = stage(_pruned(stage(children, f"{root}/met-{cut}"), k), f"{root}/pairs-{cut}")
+
+
+def build_site_index(
+    sites: DataFrame,
+    k: int = 1,
+    per_cell: int | None = None,
+    per_row: int = ROW_SITES,
+    path: str | None = None,
+    per_leaf: int | None = None,
+    few_sites: int = FEW_SITES,
+) -> SiteIndex:
+    """Candidate table for the ``k`` nearest sites (site_id, site_lat, site_lon).
+
+    Dense areas get small cells, empty ones stay coarse. More than ``few_sites`` sites
+    are taken bottom-up, in a number of jobs that doesn't depend on how they lie; few
+    are taken from coarse cells down. Cells that stay full, as around a point that
+    many sites are equally far from, keep all their candidates, ``per_row`` to a row.
+    The driver sees counts only.
+    """
+    per_cell = per_cell or 16 + 8 * k
+    root = path or scratch_dir(sites.sparkSession)
+    points = sites.select("site_id", "site_lat", "site_lon").dropna(subset=["site_lat", "site_lon"])
+    points = points.filter(~F.isnan("site_lat") & ~F.isnan("site_lon"))
+    # Of sites at one point only the k lowest ids can matter.
+    if k == 1:
+        points = points.groupBy("site_lat", "site_lon").agg(F.min("site_id").alias("site_id"))
+    else:
+        at = Window.partitionBy("site_lat", "site_lon").orderBy("site_id")
+        points = points.withColumn("_rn", F.row_number().over(at)).filter(F.col("_rn") <= k).drop("_rn")
+    points = stage(with_unit_vector(points, "site_lat", "site_lon", "_s"), f"{root}/points")
+    n = points.count()
+    if n > few_sites:
+        built = _bottom_up(points, k, per_cell, per_row, max(k, per_leaf or 2 + 2 * k), root)
+    else:
+        built = _top_down(points, n, k, per_cell, per_row, root)
+    if not built.rows:
+        built.rows.append(_leaf_rows(points.withColumns({c: F.lit(0) for c in LEAF}), None))
+    cells = stage(reduce(DataFrame.unionByName, built.rows), f"{root}/cells")
+    inner = stage(_inner(cells.selectExpr(*unpacked("cell")).distinct()), f"{root}/inner")
+    inner_size = built.cells * ((1 << 2 * STRIDE) + 64)  # no more rows than leaves
+    return SiteIndex(cells, inner, tuple(sorted(set(built.levels))) or (0,), k, built.size, inner_size, built.split)
+
+
+def _with_leaf(spots: DataFrame, index: SiteIndex, broadcast_bytes: int) -> DataFrame:
+    """``spots`` (with unit vector ``_e``) with the ``cell`` of the leaf they lie in.
+
+    The leaf's level is read off the map of inner cells, STRIDE levels at a time: one
+    join with one key for each row, no row more. A map too large to broadcast is left
+    aside, and a row gets a key for every level that leaves have.
+    """
+    kept, spots = spots.columns, spots.select("*", *fine_cell("_e"))
+    if len(index.levels) == 1:
+        return spots.select(*kept, pack(str(index.levels[0]), "face", *coarser(str(index.levels[0]))).alias("cell"))
+    if index.inner_size > broadcast_bytes:
+        keys = [pack(str(n), "face", *coarser(str(n))) for n in index.levels]
+        return spots.select(*kept, F.explode(F.array(*keys)).alias("cell"))
+    spots = spots.withColumn("_level", F.lit(-1).cast("byte"))
+    for base in range(0, max(index.levels), STRIDE):
+        at = [f"shiftright({c}, {MAX_LEVEL - base - STRIDE}) % {1 << STRIDE}" for c in "ij"]
+        spots = spots.withColumn("_key", F.when(F.col("_level") < 0, pack(str(base), "face", *coarser(str(base)))))
+        down = index.inner.select(F.col("cell").alias("_key"), F.col("levels").alias("_down"))
+        level = f"if(_level < 0, get(_down, cast({at[0]} * {1 << STRIDE} + {at[1]} AS int)), _level)"
+        spots = spots.join(F.broadcast(down), "_key", "left").selectExpr(*kept, "face", "i", "j", f"{level} AS _level")
+    level = "cast(_level AS int)"
+    return spots.select(*kept, pack(level, "face", *coarser(level)).alias("cell"))
 
 
 def rank_sites(
@@ -224,9 +459,7 @@ def rank_sites(
     spots = with_unit_vector(events.dropna(subset=["lat", "lon"]), "lat", "lon", "_e")
     if across:
         spots = spots.withColumn("_row", F.monotonically_increasing_id())
-    keys = [cell_id("_e", level) for level in index.levels]
-    # With cells of several sizes an event has one key per size; one of them matches.
-    spots = spots.withColumn("cell", keys[0] if len(keys) == 1 else F.explode(F.array(*keys)))
+    spots = _with_leaf(spots, index, broadcast_bytes)
     if choose(strategy, index.size, broadcast_bytes):
         found = spots.join(F.broadcast(index.cells), "cell")
     elif events.isStreaming:
@@ -245,12 +478,12 @@ def rank_sites(
         f"'km', round({km}, 6), 'site_id', s.site_id,"
         " 'site_lat', s.site_lat, 'site_lon', s.site_lon))"
     )
-    best = F.array(F.array_min(options)) if k == 1 else F.slice(F.array_sort(options), 1, k)
-    ranked = (
-        found.selectExpr("*", f"{worst} + {_MARGIN}D AS _limit")
-        .select(*kept, F.posexplode(best).alias("_pos", "_best"))
-        .select(*kept, "_best.*", (F.col("_pos") + 1).alias("rank"))
-    )
+    ranked = found.selectExpr("*", f"{worst} + {_MARGIN}D AS _limit")
+    if k == 1:
+        ranked = ranked.select(*kept, F.array_min(options).alias("_best"), F.lit(0).alias("_pos"))
+    else:
+        ranked = ranked.select(*kept, F.posexplode(F.slice(F.array_sort(options), 1, k)).alias("_pos", "_best"))
+    ranked = ranked.select(*kept, "_best.*", (F.col("_pos") + 1).alias("rank"))
     if across:
         # An event without an id, or one of a split cell, is known by its row.
         alone = F.lit(True) if ids_unique else F.col("event_id").isNull()

@@ -65,25 +65,24 @@ def best(brute, k):
     return {event: [site for _, site in sorted(options)[:k]] for event, options in by_event.items()}
 
 
-@pytest.mark.parametrize(
-    "strategy, per_cell, per_row", [("broadcast", None, 4096), ("grid", None, 4096), ("grid", 4, 4096), ("broadcast", 4, 2)]
-)
-def test_nearest_equals_brute_force(world, strategy, per_cell, per_row):
+@pytest.mark.parametrize("few", [0, 4096])
+@pytest.mark.parametrize("strategy, per_cell, per_row", [("broadcast", None, 4096), ("grid", 4, 4096), ("broadcast", 4, 2)])
+def test_nearest_equals_brute_force(world, strategy, per_cell, per_row, few):
     """A small per_cell takes the index through several rounds; a small per_row
     spreads the candidates of a cell over several rows."""
     e, s, brute = world
-    index = build_site_index(s, per_cell=per_cell, per_row=per_row)
+    index = build_site_index(s, per_cell=per_cell, per_row=per_row, few_sites=few)
     assert index.split == (per_row == 2)
     rows = nearest_site(e, index, strategy=strategy, hot_rows=10).collect()
     assert {r.event_id: [r.site_id] for r in rows} == best(brute, 1)
     assert all(abs(r.distance_km - brute[r.event_id, r.site_id]) < 1e-9 for r in rows)
 
 
-@pytest.mark.parametrize("k", [2, 7])
-def test_rank_equals_brute_force(world, k):
+@pytest.mark.parametrize("k, few", [(2, 0), (7, 0), (7, 4096)])
+def test_rank_equals_brute_force(world, k, few):
     e, s, brute = world
     got = {}
-    for r in rank_sites(e, build_site_index(s, k), k).orderBy("event_id", "rank").collect():
+    for r in rank_sites(e, build_site_index(s, k, few_sites=few), k).orderBy("event_id", "rank").collect():
         got.setdefault(r.event_id, []).append(r.site_id)
         assert r.rank == len(got[r.event_id])
     assert got == best(brute, k)
@@ -180,9 +179,14 @@ def test_no_cross_join_and_no_python_in_plans(world):
 
 
 def test_broadcast_lookup_does_not_shuffle_events(world):
+    """Nor does it make an event several rows: the map of inner cells gives its one key."""
     e, s, _ = world
     index = build_site_index(s)
-    assert isinstance(index, SiteIndex)
+    assert isinstance(index, SiteIndex) and len(index.levels) > 1
+    assert "Generate" not in nearest_site(e, index)._jdf.queryExecution().executedPlan().toString()
+    far = nearest_site(e, index, broadcast_bytes=0)  # a map over the limit: one key for each level
+    assert "Generate" in far._jdf.queryExecution().executedPlan().toString()
+    assert {(r.event_id, r.site_id) for r in far.collect()} == {(r.event_id, r.site_id) for r in nearest_site(e, index).collect()}
     df = nearest_site(e, index, ids_unique=True)
     assert "hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
 

@@ -88,6 +88,15 @@ def bare_sites(spark: SparkSession, sf: str) -> DataFrame:
     return sites(spark, sf).drop("site_name")
 
 
+def clustered_sites(spark: SparkSession, sf: str) -> DataFrame:
+    """A site per customer, close to one of a spot per nation."""
+    return table(spark, sf, "customer").selectExpr(
+        "c_custkey AS site_id",
+        "(c_nationkey * 53) % 150 - 75 + (c_custkey * 7919) % 1000 / 10000D AS site_lat",
+        "(c_nationkey * 131) % 340 - 170 + (c_custkey * 104729) % 997 / 9970D AS site_lon",
+    )
+
+
 def iso(ts: Column | str) -> Column:
     return F.concat(F.replace(F.col(ts).cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 

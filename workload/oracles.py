@@ -34,6 +34,13 @@ _A = (
 )
 _KM = f"2 * 6371 * asin(least(1, sqrt({_A})))"
 _PAIRS = f"p AS (SELECT v.*, s.*, {_KM} AS km FROM v, s)"
+# Of a spot's sites only those can be nearest that lie within its size of the nearest spot's: all pairs are too many.
+_NEAR_PAIRS = f"""
+spot AS (SELECT round(slat, 0) AS la, round(slon, 0) AS lo, min(slat) AS slat, min(slon) AS slon FROM s GROUP BY ALL),
+d AS (SELECT v.*, spot.la, spot.lo, {_KM} AS far FROM v, spot),
+near AS (SELECT * FROM d QUALIFY far <= min(far) OVER (PARTITION BY event_id) + 60),
+p AS (SELECT near.*, s.*, {_KM.replace('slat', 's.slat').replace('slon', 's.slon')} AS km
+      FROM near JOIN s ON round(s.slat, 0) = la AND round(s.slon, 0) = lo)"""
 _CLEAN_PAIRS = f"p AS (SELECT v.*, s.*, {_KM} AS km FROM v, s WHERE icao IS NOT NULL OR ident IS NOT NULL)"
 _RANKED = (
     "r AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY round(km, 6), site_id) AS rank FROM p)"
@@ -124,6 +131,18 @@ j AS (
     WHEN NOT inside THEN 'out_of_range' ELSE 'accepted' END AS reject_reason
   FROM f
 )"""
+_REJECTS_OF = _REJECTS.replace("END AS reject_reason", "END AS bad, *")
+_LATE = """
+l AS (
+  SELECT *, ts < (SELECT max(ts) FROM j, h WHERE bad = 'accepted' AND event_id < half) - INTERVAL 15 MINUTE AS late FROM j
+)"""
+_CLUSTERED = """
+s AS (
+  SELECT c_custkey AS site_id,
+         (c_nationkey * 53) % 150 - 75 + (c_custkey * 7919) % 1000 / CAST(10000 AS DOUBLE) AS slat,
+         (c_nationkey * 131) % 340 - 170 + (c_custkey * 104729) % 997 / CAST(9970 AS DOUBLE) AS slon
+  FROM customer
+)"""
 _ACCEPTED = (
     "SELECT CAST(event_id AS VARCHAR) AS event_id, 'u' || event_id AS unid, lat AS latitude,"
     " lon AS longitude, CASE WHEN NOT no_mag THEN mag END AS magnitude{more}"
@@ -311,6 +330,31 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT CASE WHEN reject_reason = 'accepted' THEN 'accepted' ELSE 'rejected' END AS outcome,"
         " CAST(sum(CASE WHEN reject_reason = 'accepted' THEN 1 ELSE 2 END) AS BIGINT) AS messages"
         " FROM j GROUP BY 1",
+        "nearest_site_clustered": _with(_QUAKES, _CLUSTERED, _NEAR_PAIRS, _RANKED)
+        + "SELECT event_id, site_id, round(km, 3) AS km FROM r WHERE rank = 1",
+        "stream_exact_dedup": _with(_QUAKES, _HALF)
+        + f"SELECT 'u' || (event_id % {KEYS}) AS unid, CAST(event_id AS VARCHAR) AS event_id,"
+        f" {_STAMP.format('ts')} AS event_time FROM v, h QUALIFY row_number() OVER"
+        f" (PARTITION BY event_id % {KEYS} ORDER BY event_id >= half, ts, ts + to_seconds(k), CAST(event_id AS VARCHAR)) = 1",
+        "stream_accounts": _with(_QUAKES, _FAULTY, _REJECTS_OF, _HALF, _LATE)
+        + """SELECT outcome, reason, count(*) AS messages FROM (
+            SELECT CASE WHEN bad <> 'accepted' THEN 'rejected' ELSE 'accepted' END AS outcome,
+                   CASE WHEN bad <> 'accepted' THEN bad ELSE '' END AS reason FROM j, h WHERE event_id < half
+            UNION ALL
+            SELECT CASE WHEN bad <> 'accepted' THEN 'rejected' WHEN late THEN 'late' WHEN event_id < half THEN 'repeat'
+                   ELSE 'accepted' END, CASE WHEN bad <> 'accepted' THEN bad ELSE '' END FROM l, h
+        ) GROUP BY ALL""",
+        "stream_late_table": _with(_QUAKES, _FAULTY, _REJECTS_OF, _HALF, _LATE)
+        + f"""SELECT 'late' AS reason, 'u' || event_id AS unid, CAST(event_id AS VARCHAR) AS event_id, lat AS latitude,
+            lon AS longitude, CASE WHEN NOT no_mag THEN mag END AS magnitude, {_STAMP.format('ts')} AS event_time
+            FROM l WHERE late AND bad = 'accepted'""",
+        "stream_station_accounts": _with(_STATIONS)
+        + """, o AS (SELECT CASE WHEN event_id % 13 = 0 THEN 'malformed_json' WHEN event_id % 7 = 0 THEN 'missing_region'
+                   WHEN event_id % 5 = 0 THEN 'missing_create_at' ELSE 'fine' END AS fault, * FROM st)
+            SELECT 'rejected' AS outcome, fault AS reason, 2 * count(*) AS messages FROM o WHERE fault <> 'fine' GROUP BY fault
+            UNION ALL SELECT 'accepted', '', count(DISTINCT (event_type, create_at, latitude, longitude)) FROM o WHERE fault = 'fine'
+            UNION ALL SELECT 'repeat', '', 2 * count(*) - count(DISTINCT (event_type, create_at, latitude, longitude))
+            FROM o WHERE fault = 'fine'""",
         "sample_rows_known": "SELECT least(count(*), 5) AS rows FROM events",
         "stream_revisions": _with(_QUAKES)
         + f"""SELECT 'u' || (event_id % {KEYS}) AS unid, CAST(event_id AS VARCHAR) AS event_id FROM v

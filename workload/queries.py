@@ -21,7 +21,7 @@ from faultline.plans import jobs
 from faultline.schemas import EVENT_PROPERTIES
 from faultline.session import scratch_dir
 from faultline.sources import export, raw, tables
-from faultline.streaming import streams
+from faultline.streaming import ledger, streams
 
 from . import inputs
 
@@ -260,6 +260,13 @@ def nearest_site_grid(spark, sf):
     return _nearest(spark, sf, strategy="grid").select("event_id", "site_id", km3())
 
 
+@query
+def nearest_site_clustered(spark, sf):
+    """Many sites in few places: one per customer, in 25 spots of a tenth of a degree."""
+    index = build_site_index(inputs.clustered_sites(spark, sf), few_sites=0)
+    return nearest_site(inputs.points(spark, sf), index).select("event_id", "site_id", km3())
+
+
 @query
 def top3_sites(spark, sf):
     rows = rank_sites(inputs.points(spark, sf), inputs.bare_sites(spark, sf), 3)
@@ -541,6 +548,60 @@ def ingest_accounted(spark, sf):
     return kept.unionByName(bad).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def _account(spark, sf, root, runs, **how):
+    """The quake feed in one run after the other over one checkpoint."""
+    source = {"fmt": "text", "path": f"{root}/in"}
+    for messages in runs:
+        _feed(messages, f"{root}/in")
+        _run(spark, lambda now: jobs.account_feed(spark, "quakes", source, root, f"{root}/cp", trigger=now, **how))
+    return ledger.Accounts(root)
+
+
+@query
+def stream_exact_dedup(spark, sf):
+    """One row per id over two runs, without state: the ledger tells repeats, old ones too."""
+    root, half = scratch_dir(spark), _halves(spark, sf)
+    made = inputs.messages(spark, sf, f"concat('u', event_id % {KEYS})")
+    runs = made.filter(F.col("event_id") < half), made
+    rows = _account(spark, sf, root, runs).read(spark, "accepted")
+    return rows.select("unid", "event_id", text_time("event_time"))
+
+
+@query
+def stream_accounts(spark, sf):
+    """Every message of two runs by outcome; the second repeats the first, and its old rows are late."""
+    root, half = scratch_dir(spark), _halves(spark, sf)
+    made = inputs.faulty_messages(spark, sf)
+    runs = made.filter(F.col("event_id") < half), made
+    return _account(spark, sf, root, runs, late_after="15 minutes").totals(spark)
+
+
+@query
+def stream_late_table(spark, sf):
+    """The rows that are late, whole."""
+    root, half = scratch_dir(spark), _halves(spark, sf)
+    made = inputs.faulty_messages(spark, sf)
+    runs = made.filter(F.col("event_id") < half), made
+    rows = _account(spark, sf, root, runs, late_after="15 minutes").read(spark, "late")
+    return rows.select("reason", "unid", "event_id", "latitude", "longitude", "magnitude", text_time("event_time"))
+
+
+@query
+def stream_station_accounts(spark, sf):
+    """The station feed, some messages without region, time or place, by outcome; sent twice."""
+    root = scratch_dir(spark)
+    made = inputs.station_messages(spark, sf)
+    for every, name in ((7, "region"), (5, "create_at")):
+        without = F.regexp_replace("value", f'"{name}":"[^"]*"', f'"{name}":null')
+        made = made.withColumn("value", F.when(F.col("event_id") % every == 0, without).otherwise(F.col("value")))
+    feed = made.selectExpr("cast(event_id AS string) AS key", "if(event_id % 13 = 0, substr(value, 1, 30), value) AS value", "timestamp")
+    source = {"fmt": "parquet", "path": f"{root}/in"}
+    for _ in range(2):
+        feed.write.mode("append").parquet(f"{root}/in")
+        _run(spark, lambda now: jobs.account_feed(spark, "stations", source, root, f"{root}/cp", trigger=now))
+    return ledger.Accounts(root).totals(spark)
+
+
 @query
 def stream_revisions(spark, sf):
     """Corrections kept: the latest revision per id over two runs."""
