@@ -261,8 +261,8 @@ def oracle_sql() -> dict[str, str]:
         "distance_haversine": _distance(_KM),
         "distance_slc": _distance(_SLC),
         "proximity_rows": _with(_QUAKES, _SITES, _PAIRS)
-        + "SELECT event_id, site_id, s_name AS airport_name, mag AS magnitude, round(km, 3) AS km"
-        " FROM p WHERE km < 500",
+        + "SELECT event_id, site_id, s_name AS airport_name, mag AS magnitude, upper(event_type) AS region,"
+        " round(km, 3) AS km FROM p WHERE km < 500",
         "top3_sites": _NEAREST
         + "SELECT event_id, CAST(rank AS INTEGER) AS rank, site_id, round(km, 3) AS km FROM r WHERE rank <= 3",
         "ground_motion": _with(*_INTENSITY)
@@ -289,6 +289,8 @@ def oracle_sql() -> dict[str, str]:
             f" true AS has_bytes FROM {n}"
             for n in _NAMES
         ),
+        "table_overwrite": "SELECT user_id, count(*) AS events, max(event_id) AS last_id FROM events GROUP BY user_id",
+        "size_in_mb": "SELECT source, round(sum(strlen(text)) / 1024 / 1024, 2) AS size_mb FROM documents GROUP BY source",
         "table_history": """
             SELECT 'events' AS "table", version, operation, n AS "rows"
             FROM (SELECT count(*) AS n FROM events),
@@ -361,7 +363,8 @@ def oracle_sql() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY event_id % {KEYS}
             ORDER BY ts + to_seconds(k) DESC, ts DESC) = 1""",
         "stream_proximity": _with(_QUAKES, _SITES, _CLEAN_PAIRS)
-        + "SELECT event_id, s_name AS airport_name, round(km, 3) AS km FROM p WHERE km < 500",
+        + "SELECT event_id, coalesce(icao, ident) AS site_id, s_name AS airport_name, mag AS magnitude,"
+        " upper(event_type) AS region, round(km, 3) AS km FROM p WHERE km < 500",
     }
     within = _with(_QUAKES, _SITES, _PAIRS) + "SELECT event_id, site_id, round(km, 3) AS km FROM p WHERE km < 500"
     nearest = _NEAREST + "SELECT event_id, site_id, round(km, 3) AS km FROM r WHERE rank = 1"

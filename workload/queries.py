@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.functions.geo import DISTANCES
+from faultline.functions.values import size_mb
 from faultline.operators import audit, dedup, ingest, intensity, points, render, validate
 from faultline.operators.distance_join import proximity, within_distance
 from faultline.operators.nearest import build_site_index, nearest_site, rank_sites
@@ -236,9 +237,11 @@ def within_500km_grid(spark, sf):
 
 @query
 def proximity_rows(spark, sf):
-    events = inputs.points(spark, sf).withColumn("region", F.lit(None).cast("string"))
-    rows = proximity(events, inputs.sites(spark, sf), KM)
-    return rows.select("event_id", "site_id", "airport_name", "magnitude", F.round("dist_km", 3).alias("km"))
+    """Pairs with every column but the time of analysis, of which there has to be one."""
+    events = inputs.quakes(spark, sf).filter("lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180")
+    events = events.selectExpr("event_id", "lat", "lon", "magnitude", "upper(event_type) AS region")
+    rows = proximity(events, inputs.sites(spark, sf), KM).filter("analysis_time IS NOT NULL")
+    return rows.select("event_id", "site_id", "airport_name", "magnitude", "region", F.round("dist_km", 3).alias("km"))
 
 
 def _nearest(spark, sf, **how):
@@ -375,6 +378,23 @@ def table_summary(spark, sf):
     return summary.select("table", "files", "rows", (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
+@query
+def table_overwrite(spark, sf):
+    """A table written over with rows of another schema."""
+    path, events = f"{scratch_dir(spark)}/t", inputs.table(spark, sf, "events")
+    tables.write_table(events, path)
+    per_user = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.max("event_id").alias("last_id"))
+    tables.write_table(per_user, path, "overwrite", replace_schema=True)
+    return tables.read_table(spark, path).select("*")
+
+
+@query
+def size_in_mb(spark, sf):
+    """Bytes of text per source, in megabytes."""
+    bytes_ = F.sum(F.octet_length("text"))
+    return inputs.table(spark, sf, "documents").groupBy("source").agg(size_mb(bytes_).alias("size_mb"))
+
+
 @query
 def table_history(spark, sf):
     root = scratch_dir(spark)
@@ -633,8 +653,9 @@ def stream_proximity(spark, sf):
             spark, f"{root}/quakes", f"{root}/sites", KM, f"{root}/out", f"{root}/cp", now
         ),
     )
-    rows = tables.read_table(spark, f"{root}/out")
-    return rows.select(F.col("event_id").cast("bigint").alias("event_id"), "airport_name", F.round("dist_km", 3).alias("km"))
+    rows = tables.read_table(spark, f"{root}/out").filter("analysis_time IS NOT NULL")
+    event = F.col("event_id").cast("bigint").alias("event_id")
+    return rows.select(event, "site_id", "airport_name", "magnitude", "region", F.round("dist_km", 3).alias("km"))
 
 
 @query
