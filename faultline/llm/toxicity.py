@@ -14,16 +14,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from math import exp, fsum, log
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import fresh, stage
 
 #: Labelled rows that a chain is fitted on, at most; those of the least hashed doc_id.
 SAMPLE_ROWS = 8192
@@ -33,11 +33,15 @@ MIN_ROWS = 3
 #: Word beginnings of these lengths are features besides the words: they carry inflected forms.
 PREFIXES = (4, 5)
 L1 = 0.001
+#: Features that come to the driver, at most: those of the largest gradients.
+FEATURES = 1 << 15
 STEPS = 100
 #: Share of the clean rows of the sample that a threshold may reject, out of fold.
 FALSE_ALARMS = 0.005
 #: Log-odds are held within this distance of 0.
 EDGE = 30.0
+#: Occurrences of features summed together on the driver.
+AT_ONCE = 1 << 18
 #: Words remembered by a scoring task.
 CACHE = 500_000
 
@@ -91,6 +95,14 @@ class Chain:
         return score
 
 
+def _summed(to: np.ndarray, values: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Sum of values[at] by ``to``, a bounded number at a time."""
+    out = np.zeros(width)
+    for i in range(0, len(to), AT_ONCE):
+        out += np.bincount(to[i : i + AT_ONCE], values[at[i : i + AT_ONCE]], width)
+    return out
+
+
 def _fit(start: np.ndarray, col: np.ndarray, dense: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
     """Weights (features, dense columns, intercept) by accelerated proximal gradient steps.
 
@@ -98,24 +110,26 @@ def _fit(start: np.ndarray, col: np.ndarray, dense: np.ndarray, y: np.ndarray, w
     the prior doesn't reach the penalty are left out.
     """
     n = len(y)
+    col = col.astype(np.int32)
     out = np.zeros(width + dense.shape[1] + 1)
     share = (y.sum() + 0.5) / (n + 1)
     out[-1] = log(share / (1 - share))
     if not n or y.min() == y.max():  # nothing to tell apart: the prior alone
         return out
-    row = np.repeat(np.arange(n), np.diff(start))
-    gradient = np.bincount(col, (share - y)[row], width) / n
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(start))
+    gradient = _summed(col, share - y, row, width) / n
     kept = np.flatnonzero(np.abs(gradient) > L1)
-    number = np.full(width, -1)
+    number = np.full(width, -1, np.int32)
     number[kept] = np.arange(len(kept))
-    row, col = row[number[col] >= 0], number[col[number[col] >= 0]]
+    among = number[col] >= 0
+    row, col = row[among], number[col[among]]
     wide = np.hstack([dense, np.ones((n, 1))])
 
     def times(w):
-        return np.bincount(row, w[col], n) + wide @ w[len(kept) :]
+        return _summed(row, w, col, n) + wide @ w[len(kept) :]
 
     def back(r):
-        return np.concatenate([np.bincount(col, r[row], len(kept)), wide.T @ r])
+        return np.concatenate([_summed(col, r, row, len(kept)), wide.T @ r])
 
     v = np.ones(len(kept) + wide.shape[1])
     for _ in range(12):  # the largest curvature, by power iteration
@@ -176,6 +190,45 @@ def sample(docs: DataFrame, labels: DataFrame, categories: Sequence[str], rows:
     return found.mapInArrow(_features, schema.add("features", T.ArrayType(T.StringType())))
 
 
+def _pulls(seen: pa.Table, categories: Sequence[str], fold: np.ndarray) -> np.ndarray:
+    """Per row and training set, the row's part in the gradient of a feature that it has, at the prior.
+
+    The training sets of a category are all its rows and those of all folds but one.
+    """
+    out = []
+    for category in categories:
+        y = seen.column(category).to_numpy().astype(float)
+        for held in range(-1, FOLDS):
+            mine = ~np.isnan(y) & (fold != held)
+            share = (np.sum(y[mine]) + 0.5) / (mine.sum() + 1)
+            out.append(np.where(mine, share - np.nan_to_num(y), 0) / max(1, mine.sum()))
+    return np.array(out).T
+
+
+def _columns(found: DataFrame, seen: pa.Table, pulls: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The features that a model may use, and (row, feature) numbers of where they occur.
+
+    Features are counted on the executors. Only those with a gradient above the
+    penalty come to the driver, FEATURES at most, and their occurrences as numbers.
+    """
+    spark = found.sparkSession
+    rows = pa.table({"doc_id": seen.column("doc_id"), "row": pa.array(np.arange(len(seen), dtype=np.int32)), "_pull": pa.array(pulls.tolist(), pa.list_(pa.float64()))})
+    wide = found.select("doc_id", "features").join(F.broadcast(spark.createDataFrame(rows)), "doc_id")
+    each = wide.select("_pull", F.explode("features").alias("feature")).groupBy("feature")
+    sums = [F.sum(F.get("_pull", F.lit(i))) for i in range(pulls.shape[1])]
+    strength = reduce(F.greatest, [F.abs(s) for s in sums], F.lit(0.0)).alias("strength")
+    strong = each.agg(F.count(F.lit(1)).alias("n"), strength).filter((F.col("n") >= MIN_ROWS) & (F.col("strength") > L1 * (1 - 1e-9)))
+    names = sorted(r.feature for r in strong.orderBy(F.desc("strength"), "feature").limit(FEATURES).select("feature").toLocalIterator())
+    numbers = spark.createDataFrame(pa.table({"feature": pa.array(names, pa.string()), "col": pa.array(np.arange(len(names), dtype=np.int32))}))
+    pairs = wide.select("row", F.explode("features").alias("feature")).join(F.broadcast(numbers), "feature").select("row", "col").toArrow()
+    row, col = (pairs.column(c).to_numpy() for c in ("row", "col"))
+    order = np.argsort(row.astype(np.int64) * max(1, len(names)) + col)
+    found = names, row[order], col[order]
+    del pairs, row, col, order
+    pa.default_memory_pool().release_unused()
+    return found
+
+
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], rows: int = SAMPLE_ROWS) -> Chain:
     """A chain over ``categories`` (columns of 0 and 1 in ``labels``), in that order.
 
@@ -183,15 +236,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], rows: int
     class or no rows gets its prior as a constant, with the threshold at even
     odds, so an empty table of labels rejects nothing.
     """
-    seen = sample(docs, labels, categories, rows).toArrow().sort_by("doc_id").combine_chunks()
-    lists = seen.column("features").combine_chunks()
-    words = pc.dictionary_encode(lists.flatten())
-    names, col = words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    common = np.bincount(col, minlength=len(names)) >= MIN_ROWS
-    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(len(seen)), sizes)
-    row, col = row[common[col]], col[common[col]]
+    found = stage(sample(docs, labels, categories, rows))
+    seen = found.select("doc_id", *categories).toArrow().sort_by("doc_id").combine_chunks()
     fold = np.arange(len(seen)) % FOLDS
+    names, row, col = _columns(found, seen, _pulls(seen, categories, fold)) if len(seen) else ([], *np.zeros((2, 0), np.int32))
     odds = np.zeros((len(seen), 0))
     models = []
     for category in categories:
@@ -206,12 +254,12 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], rows: int
         held = np.zeros(len(seen))
         for k in range(FOLDS):
             w = train(told & (fold != k))
-            z = np.bincount(row, w[col], len(seen)) + odds @ w[len(names) : -1] + w[-1]
+            z = _summed(row, w, col, len(seen)) + odds @ w[len(names) : -1] + w[-1]
             held[fold == k] = z[fold == k]
         held = np.clip(held, -EDGE, EDGE)
         w = train(told)
         used = np.flatnonzero(w[: len(names)])
-        features = dict(zip(names.take(pa.array(used)).to_pylist(), w[used].tolist()))
+        features = {names[i]: float(w[i]) for i in used}
         earlier = tuple(w[len(names) : -1].tolist())
         models.append(Linear(float(w[-1]), features, earlier, _threshold(held[told], y[told])))
         odds = np.column_stack([odds, held])
