@@ -1,28 +1,29 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 A document's set is its distinct word shingles; equal sets are one node from then
-on. A node has HASHES MinHash values, of which a byte each is kept. Nodes that agree
-in the ROWS values of a band are candidates. Their signatures are compared a batch
+on. A node has some MinHash values, of which a byte each is kept. Nodes that agree in
+all values of a band are candidates. Their signatures are compared a batch
 after the other: after n values of which m agree, a pair is dropped once the posterior
-chance that its similarity reaches SIMILAR, from an even prior, is below MISS. The
+chance that its similarity reaches the threshold, from an even prior, is below MISS. The
 survivors are compared exactly, on their full sets.
 
-Buckets may be large, so pairs are never spelled out within one. Each round compares
-the members of a bucket with one of them, its head, and merges what is linked. What
-remains apart in a bucket after that is either a few members against the rest, which
-is compared at once, or goes on to the next round with another head. After HEADS
-rounds a bucket still in many parts is cut by further bands of other values. At the
-last depth all that is apart is compared, so no bucket is left out.
+Buckets may be large, so pairs are never spelled out within one. First the members of
+a bucket are compared with one of them, its head, and what is linked is merged. Where
+a bucket is still in parts, those outside its head's part meet HEADS other heads.
+What is apart after that are members without a link to any head: they are compared
+with all other parts, as far as the sets share one of their rarest shingles, which
+linked ones do for certain.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest, xxh64_intdigest
 
@@ -30,29 +31,47 @@ from .common import positions, stage
 from .components import components
 from .lines import _among
 
-SHINGLE = 3
-#: Two sets are linked if PERCENT % of their union is shared.
-PERCENT = 85
-#: Values to a band, and bands: of the pairs at PERCENT exactly, 0.003 % share none.
-ROWS, BANDS = 7, 27
-HASHES = ROWS * BANDS
+
+@dataclass(frozen=True)
+class Likeness:
+    """Sets of ``shingle`` words are linked if ``percent`` % of their union is shared.
+
+    ``bands`` of ``rows`` values each find the candidates.
+    """
+
+    shingle: int
+    percent: int
+    rows: int
+    bands: int
+
+    @property
+    def values(self) -> int:
+        return self.rows * self.bands
+
+
+#: Of the pairs at ``percent`` exactly, 0.008 % share no band.
+DOCUMENTS = Likeness(3, 85, 5, 16)
+#: The same for near copies as other stages take them: 0.007 %.
+NEAR = Likeness(5, 80, 5, 24)
 #: Signature values compared together, and the chance of a link below which a pair is dropped.
-BATCH, MISS = 63, 1e-6
-#: Rounds of heads before a bucket is cut by more bands, and how often it may be cut.
-HEADS, DEPTH = 3, 3
-#: Members outside a bucket's largest part up to which they are compared with the rest at once.
-FEW = 8
+BATCH, MISS = 20, 1e-6
+#: Heads that the members of a bucket still in parts are compared with.
+HEADS = 4
+#: Values of which one bit each makes the sketch.
+SKETCH = 64
+#: Bits of the table of counts that says how rare a shingle is.
+COUNT_BITS = 20
 #: Shingles hashed for all values at once.
 BLOCK = 2048
 #: Sets that a verifying task remembers.
 REMEMBERED = 256
 
-_SEEDS = np.array([xxh64_intdigest(f"minhash seed {i}") for i in range(HASHES)], np.uint64)
-_FACTORS = np.array([xxh64_intdigest(f"minhash factor {i}") | 1 for i in range(HASHES)], np.uint64)
+_SEEDS = np.array([xxh64_intdigest(f"minhash seed {i}") for i in range(128)], np.uint64)
+_FACTORS = np.array([xxh64_intdigest(f"minhash factor {i}") | 1 for i in range(128)], np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+def shingle_set(text: bytes | None, shingle: int = DOCUMENTS.shingle) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; fewer words are one shingle, none give none.
 
     A-Z are lower-cased; bytes.split cuts at space and \\t to \\r, nothing else.
@@ -70,18 +89,18 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(32)))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, values: int = DOCUMENTS.values) -> np.ndarray:
     """The top byte of each MinHash value of a set that isn't empty."""
-    least = np.full(HASHES, ~np.uint64(0))
+    least = np.full(values, ~np.uint64(0))
     for at in range(0, len(hashes), BLOCK):
-        part = (hashes[at : at + BLOCK, None] ^ _SEEDS) * _FACTORS
+        part = (hashes[at : at + BLOCK, None] ^ _SEEDS[:values]) * _FACTORS[:values]
         least = np.minimum(least, part.min(axis=0))
     # the least values are all small at the top: mixed once more, any byte is even
     return ((least * _MIX) >> np.uint64(56)).astype(np.uint8)
 
 
 @lru_cache(16)
-def least_matches(n: int, values: int, percent: int = PERCENT, miss: float = MISS) -> int:
+def least_matches(n: int, values: int, percent: int = DOCUMENTS.percent, miss: float = MISS) -> int:
     """Matches among ``n`` signature values of ``values`` kinds below which a pair is dropped.
 
     The similarity's prior is even on [0, 1]; different sets agree in a value by
@@ -97,28 +116,29 @@ def least_matches(n: int, values: int, percent: int = PERCENT, miss: float = MIS
     return n
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        sizes, ones, twos, sketches, signs = [], [], [], ([], []), []
-        for text in b.column("text").cast(pa.binary()):
-            s = shingle_set(text.as_py())
-            sizes.append(len(s))
-            if not len(s):
-                for out in (ones, twos, *sketches, signs):
-                    out.append(None)
-                continue
-            key = xxh3_128_intdigest(s.tobytes())
-            sign = signature(s)
-            bits = np.packbits(sign[:128] & 1).view(np.int64)
-            for out, x in ((ones, key >> 64), (twos, key & (1 << 64) - 1)):
-                out.append(x - (1 << 64) if x >> 63 else x)
-            for out, x in zip(sketches, bits.tolist()):
-                out.append(x)
-            signs.append(sign.tobytes())
-        arrays = [pa.array(x, pa.int64()) for x in (sizes, ones, twos, *sketches)] + [pa.array(signs, pa.binary())]
-        names = ["n_shingles", "one", "two", "bits", "more_bits", "sign"]
-        keys = ["doc_id", "t1", "t2"]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keys), *arrays], [*keys, *names])
+def _signing(how: Likeness) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, ones, twos, sketches, signs = [], [], [], [], []
+            for text in b.column("text").cast(pa.binary()):
+                s = shingle_set(text.as_py(), how.shingle)
+                sizes.append(len(s))
+                if not len(s):
+                    for out in (ones, twos, sketches, signs):
+                        out.append(None)
+                    continue
+                key = xxh3_128_intdigest(s.tobytes())
+                sign = signature(s, how.values)
+                for out, x in ((ones, key >> 64), (twos, key & (1 << 64) - 1)):
+                    out.append(x - (1 << 64) if x >> 63 else x)
+                sketches.append(int(np.packbits(sign[:SKETCH] & 1).view(np.int64)[0]))
+                signs.append(sign.tobytes())
+            arrays = [pa.array(x, pa.int64()) for x in (sizes, ones, twos, sketches)] + [pa.array(signs, pa.binary())]
+            names = ["n_shingles", "one", "two", "bits", "sign"]
+            keys = ["doc_id", "t1", "t2"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keys), *arrays], [*keys, *names])
+
+    return run
 
 
 def _text_keys(docs: DataFrame) -> DataFrame:
@@ -132,146 +152,195 @@ def _text_keys(docs: DataFrame) -> DataFrame:
     )
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, how: Likeness = DOCUMENTS) -> DataFrame:
     """One row per row of ``docs``: its set's size, its 128-bit key, sketch and signature."""
-    schema = "doc_id long, t1 long, t2 long, n_shingles long, one long, two long, bits long, more_bits long, sign binary"
-    return _text_keys(docs).mapInArrow(_signed, schema)
-
+    schema = "doc_id long, t1 long, t2 long, n_shingles long, one long, two long, bits long, sign binary"
+    return _text_keys(docs).mapInArrow(_signing(how), schema)
 
-def _banding(level: int):
-    """Keys of the bands of a level; bands within an older bucket carry its key on."""
-    order = np.arange(HASHES) if not level else np.random.default_rng(level).permutation(HASHES)
-    order = order.reshape(BANDS, ROWS)
 
+def _banding(how: Likeness) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not len(b):
-                continue
-            signs = np.frombuffer(b"".join(b.column("sign").to_pylist()), np.uint8).reshape(len(b), HASHES)
-            older = b.column("band").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            keys = np.repeat(older[:, None], BANDS, axis=1) ^ np.arange(1, BANDS + 1, dtype=np.uint64)
-            for k in range(ROWS):
-                keys = (keys ^ (keys >> np.uint64(31)) ^ signs[:, order[:, k]]) * _MIX
+            signs = np.frombuffer(b"".join(b.column("sign").to_pylist()), np.uint8).reshape(len(b), how.bands, how.rows)
+            keys = np.tile(np.arange(1, how.bands + 1, dtype=np.uint64) * _MIX, (len(b), 1))
+            for k in range(how.rows):
+                keys = (keys ^ (keys >> np.uint64(31)) ^ signs[:, :, k]) * _MIX
             keys ^= keys >> np.uint64(32)
-            nodes = np.repeat(b.column("node").to_numpy(), BANDS)
+            nodes = np.repeat(b.column("node").to_numpy(), how.bands)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(keys.ravel().view(np.int64))], ["node", "band"])
 
     return run
 
 
-def _buckets(members: DataFrame, level: int) -> DataFrame:
-    """(node, band) of all buckets with two members or more; ``members`` is (node, band, sign)."""
-    keys = stage(members.select("node", "band", "sign").mapInArrow(_banding(level), "node long, band long"))
-    full = keys.groupBy("band").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo < _hi")
-    return keys.join(full.select("band"), "band", "left_semi")
+def _buckets(nodes: DataFrame, how: Likeness) -> DataFrame:
+    """(node, band, head) of all buckets with two members or more; the head is the least."""
+    keys = stage(nodes.select("node", "sign").mapInArrow(_banding(how), "node long, band long"))
+    full = keys.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
+    return keys.join(full.select("band", "head"), "band")
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        left = np.arange(len(b))
-        x, y = (
-            np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(len(b), HASHES) for c in ("x", "y")
-        )
-        same = np.zeros(len(b), np.int64)
-        for at in range(0, HASHES, BATCH):
-            same = same + (x[left, at : at + BATCH] == y[left, at : at + BATCH]).sum(axis=1)
-            likely = same >= least_matches(min(at + BATCH, HASHES), 256)
-            left, same = left[likely], same[likely]
-        yield b.select(["a", "b"]).take(pa.array(left))
+def _likely(how: Likeness) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            left = np.arange(len(b))
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(len(b), how.values) for c in ("x", "y"))
+            same = np.zeros(len(b), np.int64)
+            for at in range(0, how.values, BATCH):
+                same = same + (x[left, at : at + BATCH] == y[left, at : at + BATCH]).sum(axis=1)
+                likely = same >= least_matches(min(at + BATCH, how.values), 256, how.percent)
+                left, same = left[likely], same[likely]
+            yield b.select(["a", "b"]).take(pa.array(left))
+
+    return run
 
 
-def linked(x: np.ndarray, y: np.ndarray) -> bool:
+def linked(x: np.ndarray, y: np.ndarray, percent: int = DOCUMENTS.percent) -> bool:
     """Whether two sets of shingles share enough of their union; empty ones never do."""
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both)
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = lru_cache(REMEMBERED)(shingle_set)
-    for b in batches:
-        texts = (b.column(c).cast(pa.binary()) for c in ("x", "y"))
-        same = [linked(hashes(x.as_py()), hashes(y.as_py())) for x, y in zip(*texts)]
-        yield b.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+def _verifying(how: Likeness) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = lru_cache(REMEMBERED)(lambda text: shingle_set(text, how.shingle))
+        for b in batches:
+            texts = (b.column(c).cast(pa.binary()) for c in ("x", "y"))
+            same = [linked(hashes(x.as_py()), hashes(y.as_py()), how.percent) for x, y in zip(*texts)]
+            yield b.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+    return run
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
     """The links among the candidate pairs (a, b): signatures batch by batch, then whole sets."""
     ends = lambda df, c: [df.select(F.col("node").alias(k), F.col(c).alias(v)) for k, v in (("a", "x"), ("b", "y"))]
     one, two = ends(nodes, "sign")
-    likely = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_likely, "a long, b long")
+    likely = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_likely(how), "a long, b long")
     one, two = ends(texts, "text")
     met = stage(likely).join(one, "a").join(two, "b").select("a", "b", "x", "y")
-    return stage(met.mapInArrow(_verified, "a long, b long"))
+    return stage(met.mapInArrow(_verifying(how), "a long, b long"))
 
 
-def _apart(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """(node, band, root, main, others) of buckets that are in more than one part.
-
-    main is the root of a bucket's largest part, others the number of members outside it.
-    """
-    rooted = stage(buckets.select("node", "band").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` (node, band, ...) of buckets in more than one part, with the node's and the largest part's root."""
+    rooted = stage(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    sizes = parts.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
-    sizes = sizes.select("band", F.col("top.root").alias("main"), (F.col("n") - F.col("top.n")).alias("others"))
-    return rooted.join(sizes.filter("others > 0"), "band")
+    top = F.max(F.struct("n", "root")).alias("top")
+    mixed = parts.groupBy("band").agg(top, F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    return rooted.join(mixed.select("band", F.col("top.root").alias("main")), "band")
 
 
-def _with_heads(apart: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's head of this turn with its members of other parts."""
-    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("_h"), "node", "root")).alias("head")
-    heads = apart.groupBy("band").agg(first)
-    met = apart.join(heads, "band").filter("root <> head.root")
-    ends = F.col("node"), F.col("head.node")
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of the columns x.node and y.node."""
+    ends = F.col("x.node"), F.col("y.node")
     return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
 
-def _rest(apart: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the few members outside the largest part with all of other parts.
+def _agree(how: Likeness) -> Column:
+    """Whether a link of x and y is likely enough by their sketches, the first batch of all."""
+    return SKETCH - F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) >= least_matches(SKETCH, 2, how.percent)
+
+
+def _with_heads(apart: DataFrame, how: Likeness) -> DataFrame:
+    """Pairs of the members of a bucket with HEADS of them, as far as they are in other parts."""
+    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("_h"), "node", "root", "bits")) for i in range(HEADS)]
+    heads = apart.groupBy("band").agg(F.array(*firsts).alias("heads"))
+    heads = heads.select("band", F.explode(F.array_distinct("heads")).alias("y"))
+    return _pairs(apart.alias("x").join(heads, "band").filter((F.col("root") != F.col("y.root")) & _agree(how)))
 
-    The sketches of one bit a value are the first batches: the join keeps a pair
-    only if a link is likely enough after them.
-    """
-    known = apart.join(nodes.select("node", "bits", "more_bits"), "node")
-    x, y = known.filter("root <> main").alias("x"), known.alias("y")
-    agree = [64 - F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("bits", "more_bits")]
-    likely = (agree[0] >= least_matches(64, 2)) & (agree[0] + agree[1] >= least_matches(128, 2))
-    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & once & likely)
-    ends = F.col("x.node"), F.col("y.node")
-    return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
+def _counting(how: Likeness) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for b in batches:
+            for text in b.column("text").cast(pa.binary()):
+                np.add.at(total, shingle_set(text.as_py(), how.shingle) >> np.uint64(64 - COUNT_BITS), 1)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(total[slots])], ["slot", "n"])
+
+    return run
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+
+def _beginning(how: Likeness, rarity: np.ndarray) -> Callable:
+    """The shingles of a set up to which two linked ones must have met, the rarest first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for node, root, minor, text in zip(*(b.column(c) for c in ("node", "root", "minor", "text"))):
+                s = shingle_set(text.as_py().encode("utf-8", "replace"), how.shingle)
+                s = s[np.argsort(rarity[s >> np.uint64(64 - COUNT_BITS)], kind="stable")]
+                first = s[: len(s) - -(-how.percent * len(s) // 100) + 1].view(np.int64)
+                n = len(first)
+                each = [pa.array(first), *(pa.array([x.as_py()] * n) for x in (node, root, minor))]
+                yield pa.RecordBatch.from_arrays([*each, pa.array(np.arange(n)), pa.array(np.full(n, len(s)))], _BEGIN)
+
+    return run
+
+
+_BEGIN = ["token", "node", "root", "minor", "place", "size"]
+
+
+def _rest(apart: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
+    """Pairs of members outside a bucket's largest part with all of other parts that may be linked; none is left out.
+
+    In an order of all shingles, the same for all sets, the first one that two sets
+    share has at most the rest of either set behind it. So linked sets meet near
+    their beginnings; with rare shingles first, few others do. How rare a shingle is
+    comes from counts in a table of fixed size, which costs pairs where it errs, not links.
+    """
+    members = apart.groupBy("node", "root").agg(F.max(F.col("root") != F.col("main")).alias("minor"))
+    members = stage(members.join(texts, "node"))
+    counted = members.select("text").mapInArrow(_counting(how), "slot int, n long")
+    counted = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2 ** COUNT_BITS rows at most
+    rarity = np.zeros(1 << COUNT_BITS, np.uint8)
+    rarity[counted.column("slot").to_numpy()] = np.ceil(np.log2(counted.column("n").to_numpy() + 1))
+    schema = "token long, node long, root long, minor boolean, place long, size long"
+    begins = stage(members.select("node", "root", "minor", "text").mapInArrow(_beginning(how, rarity), schema))
+    x, y = begins.filter("minor").alias("x"), begins.alias("y")
+    once = ~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))
+    behind = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    enough = behind * (100 + how.percent) >= how.percent * (F.col("x.size") + F.col("y.size"))
+    return _pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & enough))
+
+
+def links(docs: DataFrame, nodes: DataFrame, how: Likeness = DOCUMENTS) -> DataFrame:
     """(a, b): links between nodes, enough of them to connect all that are linked.
 
-    ``nodes`` is (node, t1, t2, bits, more_bits, sign), one row per distinct set.
+    ``nodes`` is (node, t1, t2, bits, sign), one row per distinct set.
     """
-    buckets = stage(_buckets(nodes.withColumn("band", F.lit(0).cast("long")), 0))
+    buckets = stage(_buckets(nodes, how))
     need = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "t1", "t2")
     whole = _text_keys(docs).withColumnRenamed("t1", "node")
     whole = _among(whole, need.select(F.col("t1").alias("node")).distinct()).withColumnRenamed("node", "t1")
     texts = stage(whole.join(need, ["t1", "t2"]).select("node", "text").dropDuplicates(["node"]))
-    heads = buckets.groupBy("band").agg(F.min("node").alias("a"))
-    stars = buckets.join(heads, "band").filter("a < node").select("a", F.col("node").alias("b"))
-    found = _confirmed(stars.distinct(), nodes, texts)
-    late: DataFrame | None = None
-    for turn in range(1, HEADS * (DEPTH + 1)):
-        apart = stage(_apart(buckets, components(found)))
-        few = apart.filter(F.col("others") <= FEW).select("node", "band")
-        late = few if late is None else late.unionAll(few)
-        buckets = apart.filter(F.col("others") > FEW)
-        if buckets.isEmpty():
-            break
-        found = found.unionAll(_confirmed(_with_heads(buckets, turn), nodes, texts))
-        if turn % HEADS == 0:
-            buckets = _buckets(buckets.join(nodes.select("node", "sign"), "node"), turn // HEADS)
-    else:
-        late = late.unionAll(buckets.select("node", "band"))
-    pairs = _rest(stage(_apart(late, components(found))), nodes)
-    return found.unionAll(_confirmed(pairs, nodes, texts))
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
+    stars = buckets.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    found = _confirmed(stars, nodes, texts, how)
+    apart = _apart(buckets.select("node", "band"), components(found)).drop("root", "main")
+    apart = stage(apart.join(nodes.select("node", "bits"), "node"))
+    found = found.unionAll(_confirmed(_with_heads(_apart(apart, components(found)), how), nodes, texts, how))
+    rest = _rest(_apart(apart, components(found)), texts, how)
+    return found.unionAll(_confirmed(rest, nodes, texts, how))
+
+
+def classes(docs: DataFrame, how: Likeness = DOCUMENTS) -> tuple[DataFrame, DataFrame]:
+    """The rows' keys (doc_id, t1, n_shingles, one, two), and (one, two, root, least) of each distinct set.
+
+    root is the same for all sets of a component, least its smallest doc_id. Rows
+    without words have no set.
+    """
+    rows = stage(signatures(docs, how))
+    key = ["one", "two"]
+    full = rows.filter("n_shingles > 0")
+    one_row = F.min(F.struct("t1", "t2", "bits", "sign")).alias("row")
+    sets = full.groupBy(*key).agg(one_row, F.min("doc_id").alias("id"))
+    nodes = stage(positions(sets, *map(F.col, key)).select(F.col("position").alias("node"), "id", *key, "row.*"))
+    rooted = nodes.select("node", "id", *key).join(components(links(docs, nodes, how)), "node", "left")
+    rooted = stage(rooted.withColumn("root", F.coalesce("root", "node")))
+    least = rooted.groupBy("root").agg(F.min("id").alias("least"))
+    return rows.select("doc_id", "t1", "n_shingles", *key), rooted.join(least, "root").select(*key, "root", "least")
+
+
+def near_duplicates(docs: DataFrame, how: Likeness = DOCUMENTS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
     component_id is the smallest doc_id reachable over links, the row's own
@@ -281,20 +350,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component_id unless the component has no other, and is not kept; no documents
     give no rows. Only doc_id and text are read.
     """
-    rows = stage(signatures(docs))
-    key = ["one", "two"]
-    full = rows.filter("n_shingles > 0")
-    one_row = F.min(F.struct("t1", "t2", "bits", "more_bits", "sign")).alias("row")
-    sets = full.groupBy(*key).agg(one_row, F.min("doc_id").alias("id"))
-    nodes = positions(sets, *map(F.col, key)).select(F.col("position").alias("node"), "id", *key, "row.*")
-    nodes = stage(nodes)
-    roots = components(links(docs, nodes))
-    rooted = nodes.select("node", "id", *key).join(roots, "node", "left")
-    rooted = stage(rooted.withColumn("root", F.coalesce("root", "node")))
-    least = rooted.groupBy("root").agg(F.min("id").alias("least"))
-    placed = rooted.join(least, "root").select(*key, "least")
-    found = rows.select("doc_id", "n_shingles", *key).join(placed, key, "left")
+    rows, sets = classes(docs, how)
+    found = rows.join(sets, ["one", "two"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return found.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
-    )
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(False))
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def near_copies(docs: DataFrame, how: Likeness = NEAR) -> DataFrame:
+    """(a, b): links between text hashes that connect all texts as alike as ``how`` says."""
+    rows, sets = classes(docs, how)
+    texts = rows.select("t1", "one", "two").distinct().join(sets, ["one", "two"]).select("t1", "root")
+    hubs = texts.groupBy("root").agg(F.min("t1").alias("a"))
+    return texts.join(hubs, "root").select("a", F.col("t1").alias("b"))
