@@ -11,14 +11,13 @@ every link, and the full 64 bits decide. A fingerprint has at most 17 replicas a
 half, whatever the input.
 
 Three bits are few: of texts with a Jaccard similarity of 0.8 most are further apart.
-``representatives`` therefore also links texts by the words they share: MinHash bands
-over shingles of several words give the pairs, and their exact similarity decides.
+``representatives`` therefore also links texts by the words they share, as ``minhash``
+finds them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from . import lines
+from . import minhash
 from .common import fresh, stage, text_hash
 from .components import components
 
@@ -34,14 +33,6 @@ SHINGLE = 3
 THRESHOLD = 3
 HALF = 32
 CODE_BITS = 31
-#: Words to a shingle, and the similarity, from which texts are near copies of each other.
-NEAR_SHINGLE, SIMILAR = 5, 0.8
-#: MinHash values to a band, and bands: 99.97 % of the pairs at a similarity of 0.8 share one.
-ROWS, BANDS = 4, 16
-_SEEDS = np.array([xxh64_intdigest(f"seed {i}") for i in range(ROWS * BANDS)], np.uint64)
-_FACTORS = np.array([xxh64_intdigest(f"factor {i}") | 1 for i in range(ROWS * BANDS)], np.uint64)
-#: Shingles hashed for all bands at once.
-BAND_BLOCK = 2048
 #: Shingles counted at once, so that a very long text takes bounded memory.
 BLOCK = 65_536
 
@@ -155,66 +146,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(classes(prints), "fp")
 
 
-def shingle_hashes(text: str, shingle: int) -> np.ndarray:
-    """Distinct hashes, sorted, of a text's word shingles; a text of fewer words is one. Words as in ``fingerprint``."""
-    words = text.encode("utf-8", "replace").lower().split()
-    hashes = np.array([xxh64_intdigest(w) for w in words], np.uint64)
-    size = min(shingle, len(words))
-    n = len(words) - size + 1 if words else 0
-    out = np.full(n, size, np.uint64)
-    for k in range(size):
-        out = (out ^ (out >> np.uint64(29)) ^ hashes[k : k + n]) * _FACTORS[0]
-    return np.unique(out ^ (out >> np.uint64(32)))
-
-
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band: the least of the hashes under ROWS orders of its own."""
-    least = np.full(ROWS * BANDS, ~np.uint64(0))
-    for at in range(0, len(hashes), BAND_BLOCK):
-        part = (hashes[at : at + BAND_BLOCK, None] ^ _SEEDS) * _FACTORS
-        least = np.minimum(least, part.min(axis=0))
-    least = least.reshape(BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        key = (key ^ (key >> np.uint64(29)) ^ least[:, k]) * _FACTORS[k]
-    return (key ^ (key >> np.uint64(32))).view(np.int64)
-
-
-def _banding(shingle: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = (shingle_hashes(t.as_py(), shingle) for t in b.column("line"))
-            keys = [band_keys(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(keys, pa.list_(pa.int64()))], ["node", "bands"])
-
-    return run
-
-
-def _comparing(shingle: int, similar: float) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = lru_cache(256)(lambda text: shingle_hashes(text, shingle))
-        for b in batches:
-            same = []
-            for x, y in zip(b.column("x"), b.column("y")):
-                one, two = hashes(x.as_py()), hashes(y.as_py())
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                same.append(both >= similar * (len(one) + len(two) - both))
-            yield b.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
-
-    return run
-
-
-def near_copies(docs: DataFrame, shingle: int = NEAR_SHINGLE, similar: float = SIMILAR) -> DataFrame:
-    """(a, b): links between text hashes that connect all texts of this similarity."""
-    rows = docs.filter(F.col("text").isNotNull()).select(text_hash().alias("node"), F.col("text").alias("line"))
-    return lines.links(rows, _banding(shingle), _comparing(shingle, similar))
-
-
-def representatives(docs: DataFrame, shingle: int = NEAR_SHINGLE, similar: float = SIMILAR) -> DataFrame:
+def representatives(docs: DataFrame, how: minhash.Likeness = minhash.NEAR) -> DataFrame:
     """``docs`` with one row left of each component: that of the smallest doc_id.
 
     Components hang together by fingerprints, as in ``near_duplicates``, and by texts
-    of which ``shingle`` words in a row have a Jaccard similarity of ``similar``.
+    that are as alike as ``how`` says: five words, a Jaccard similarity of 0.8.
     Among rows with the smallest id the smallest text hash stays, and of equal rows
     one; null ids come last. All columns of ``docs`` are kept as they are.
     """
@@ -225,7 +161,7 @@ def representatives(docs: DataFrame, shingle: int = NEAR_SHINGLE, similar: float
     hung = firsts.join(roots, "fp", "left").select(F.coalesce("root", "fp").alias("root"), "text_hash")
     hubs = hung.groupBy("root").agg(F.min("text_hash").alias("a"))
     by_print = hung.join(hubs, "root").select("a", F.col("text_hash").alias("b"))
-    roots = components(by_print.unionAll(near_copies(docs, shingle, similar))).withColumnRenamed("node", "text_hash")
+    roots = components(by_print.unionAll(minhash.near_copies(docs, how))).withColumnRenamed("node", "text_hash")
     rooted = firsts.join(roots, "text_hash", "left").withColumn("root", F.coalesce("root", "text_hash"))
     kept = rooted.groupBy("root").agg(F.min("k").alias("k"))
     key, kept_id, kept_hash = (fresh(docs, c) for c in ("_text_hash", "_kept_id", "_kept_hash"))
