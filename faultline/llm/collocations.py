@@ -1,18 +1,20 @@
 """Phrase collocations by Toivonen mining.
 
 A sample of the documents proposes phrases: those that reach a lowered count there.
-A full pass then counts, exactly, every phrase whose two parts without the last and
-without the first word were proposed: the proposals and their negative border, as far
-as it occurs. A phrase of the border that turns out frequent was missed by the sample,
-so longer ones may have been missed with it: it joins the proposals, and a further
-pass counts what became a candidate by it, until no new one turns up. As a part of a
-phrase is at least as frequent as the phrase, all frequent phrases are counted then,
-whatever the sample was.
+A full pass then counts every phrase whose two parts without the last and without the
+first word were proposed: the proposals and their negative border, as far as it
+occurs. A phrase of the border that turns out frequent was missed by the sample, and
+longer ones may have been missed with it: it joins the proposals, and a further pass
+counts it and what became a candidate by it, until the border holds no frequent one.
+As a part of a phrase is at least as frequent as the phrase, all frequent phrases are
+counted then, whatever the sample was.
 
 Phrases are counted inside Arrow batches first, over numbers instead of words; what
-goes to the shuffle are the distinct candidates of a batch. Whether a phrase's parts
-were proposed is asked of a bitmap of fixed size. It may say yes by mistake, which
-counts a phrase in vain, never no.
+goes to the shuffle are the distinct candidates of a batch. The border is large and
+nearly all of it rare, so the first pass counts it by hash alone, which can only make
+a count too large; all else is counted by its words. Whether a phrase was proposed is
+asked of a bitmap of fixed size. It may say yes by mistake, which counts a phrase in
+vain, never no.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -31,14 +34,14 @@ from .common import positions, stage
 #: Words of a phrase, at most, and how often a candidate occurs, at least.
 WORDS, FREQUENT = 4, 30
 #: One document of so many is in the sample, and the count that proposes a phrase there.
-SAMPLE, PROPOSED = 4, 3
+SAMPLE, PROPOSED = 4, 2
 #: A phrase goes if a longer one around it has this share, in percent, of its occurrences.
 COVERED = 80
 TOP = 2000
 #: Bits of a filter of phrases (8 MiB), whatever the input.
 FILTER_BITS = 26
 #: Words counted together.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = 64 - FILTER_BITS
@@ -94,88 +97,102 @@ class Documents:
         self.words.append(_END)
         self.runs.append((self.langs.setdefault(lang, len(self.langs)), len(words) + 1))
 
-    def counts(self, sizes: range, known: Callable, before: Callable | None) -> Iterator[pa.RecordBatch]:
+    def counts(self, sizes: range, known: list[Callable], named: bool = True) -> Iterator[pa.RecordBatch]:
         """Rows of _COUNTS for the phrases of ``sizes`` words.
 
-        Counted are words, and phrases both of whose parts without an end word are in
-        ``known(size, hashes)``; with ``before``, only those that weren't counted when
-        that was known. Size 0 has each lang's number of words.
+        ``known`` has what was known, ``(size, hashes) -> mask``, in each pass so far and
+        in this one. A phrase is a candidate if its parts without an end word are known,
+        a word always. The first pass counts candidates that are known themselves by
+        their words and others by hash; the second counts those by their words that
+        became known, and like all later ones new candidates. Without ``named`` all go
+        by hash. Size 0 has each lang's number of words.
         """
         coded = pa.array(self.words, pa.binary()).dictionary_encode()
-        names, word = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        langs = list(self.langs)
+        names, word = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        langs = pa.array(list(self.langs), pa.string())
         runs = np.array(self.runs, np.int64).reshape(-1, 2)
         lang = np.concatenate([[0], np.repeat(runs[:, 0], runs[:, 1])])
-        at = np.flatnonzero(word != names.index(_END))  # where phrases of the present size start
+        at = np.flatnonzero(word != names.index(_END).as_py())  # where phrases of the present size start
         if 0 in sizes:
-            n = np.bincount(lang[at], minlength=len(langs))
-            yield self._rows(0, langs, [b""] * len(langs), np.zeros(len(langs), np.uint64), np.ones(len(langs), bool), n)
-        of_word = np.array([xxh64_intdigest(w) for w in names], np.uint64)
-        of_lang = np.array([xxh64_intdigest(x.encode(), 1) for x in langs] or [0], np.uint64)
+            total = np.bincount(lang[at], minlength=len(langs))
+            yield self._rows(0, langs, pa.array([""] * len(langs), pa.string()), np.zeros(len(langs), np.uint64), np.ones(len(langs), bool), total)
+        of_word = np.array([xxh64_intdigest(w) for w in names.to_pylist()], np.uint64)
+        of_lang = np.array([xxh64_intdigest(x, 1) for x in langs.to_pylist()] or [0], np.uint64)
         place = np.full(len(word) + 1, -1)  # by start: the number of the phrase there, if it is known
-        old = hashes = None
+        earlier = [None] * len(known[:-1])  # per earlier pass and distinct phrase: whether it was known then
         for size in range(1, max(sizes) + 1):
             if size == 1:
                 number, first, n = _numbered(lang[at] << 32 | word[at])
                 new = _mixed(of_word[word[at[first]]] + of_lang[lang[at[first]]])
-                counted = np.full(len(n), before is not None)  # whether an earlier pass did
+                asked = [np.ones(len(n), bool) for _ in earlier]  # per earlier pass: whether it was a candidate
             else:
                 at = np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0))
                 left, right = place[at], place[at + 1]
                 number, first, n = _numbered(left << 32 | right)
                 left, right = left[first], right[first]
                 new = _mixed(hashes[left] * _MIX + hashes[right])
-                counted = old[left] & old[right]
+                asked = [e[left] & e[right] for e in earlier]
             if not len(at):
                 return
-            held = known(size, new)
-            if size in sizes and not counted.all():
-                out = ~counted
-                starts = at[first[out]]
-                phrases = [b" ".join([names[w] for w in word[i : i + size]]) for i in starts]
-                yield self._rows(size, [langs[i] for i in lang[starts]], phrases, new[out], held[out], n[out])
-            hashes, old = new, counted & before(size, new) if before else counted
+            held = known[-1](size, new)
+            hashes, earlier = new, [a & k(size, new) for a, k in zip(asked, known)]
+            if size in sizes:
+                if not asked:
+                    by_word, by_hash = (held, ~held) if named else (np.zeros(len(n), bool), np.ones(len(n), bool))
+                else:
+                    by_word, by_hash = ~asked[-1], np.zeros(len(n), bool)
+                    if len(asked) == 1:
+                        by_word = by_word | ~earlier[0] & held
+                if by_word.any():
+                    starts = at[first[by_word]]
+                    each = [names.take(pa.array(word[starts + k])) for k in range(size)]
+                    phrases = pc.binary_join_element_wise(*each, pa.scalar(b" ", pa.binary())).cast(pa.string())
+                    yield self._rows(size, langs.take(pa.array(lang[starts])), phrases, new[by_word], held[by_word], n[by_word])
+                if by_hash.any():
+                    none = pa.nulls(int(by_hash.sum()), pa.string())
+                    yield self._rows(size, none, none, new[by_hash], held[by_hash], n[by_hash])
             place[:] = -1
             place[at] = np.where(held[number], number, -1)
 
     @staticmethod
-    def _rows(size, langs, phrases, hashes, held, n) -> pa.RecordBatch:
-        arrays = [pa.array(langs, pa.string()), pa.array(np.full(len(langs), size, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string())]
-        arrays += [pa.array(hashes.view(np.int64)), pa.array(held), pa.array(n.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "size", "phrase", "hash", "known", "n"])
+    def _rows(size: int, lang: pa.Array, phrase: pa.Array, hashes: np.ndarray, held: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        sizes = pa.array(np.full(len(n), size, np.int32))
+        rest = [pa.array(hashes.view(np.int64)), pa.array(held), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays([lang, sizes, phrase, *rest], _NAMES)
 
 
-_COUNTS = "lang string, size int, phrase string, hash long, known boolean, n long"
+_COUNTS = "lang string, size int, phrase string, hash long, held boolean, n long"
+_NAMES = ["lang", "size", "phrase", "hash", "held", "n"]
 
 
-def counts(docs: DataFrame, sizes: range, filters: list[np.ndarray], open_from: int = WORDS) -> DataFrame:
-    """Exact counts (_COUNTS) of the candidates in ``docs`` (lang, text).
+def counts(docs: DataFrame, sizes: range, filters: list[np.ndarray], named: bool = True) -> DataFrame:
+    """Counts (_COUNTS) of the candidates in ``docs`` (lang, text), see ``Documents.counts``.
 
-    The last of ``filters`` is new: with more than one, only phrases that the others
-    didn't make candidates are counted. Phrases of ``open_from`` words or more, and all
-    if there is no filter, are taken as known.
+    Each pass knew what is in the ``filters`` up to its own. Sizes that no filter has
+    been made for are known: all without a filter, and without ``named`` those of
+    ``sizes``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def within(maps: list[np.ndarray]) -> Callable:
+        def within(maps: np.ndarray | None) -> Callable:
             def known(size: int, hashes: np.ndarray) -> np.ndarray:
-                if size >= open_from:
+                if maps is None or not named and size in sizes:
                     return np.ones(len(hashes), bool)
-                return np.logical_or.reduce([_among(m, hashes) for m in maps])
+                return _among(maps, hashes)
 
             return known
 
-        known, before = within(filters), within(filters[:-1]) if filters[1:] else None
+        how = sizes, [within(f) for f in filters or [None]], named
         held = Documents()
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary())):
                 held.add(lang, text.as_py())
                 if len(held.words) >= AT_ONCE:
-                    yield from held.counts(sizes, known, before)
+                    yield from held.counts(*how)
                     held = Documents()
-        yield from held.counts(sizes, known, before)
+        yield from held.counts(*how)
 
-    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "size", "phrase", "hash", "known").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "size", "phrase", "hash", "held").agg(F.sum("n").alias("n"))
 
 
 def frequent(docs: DataFrame, least: int = FREQUENT, sample: int = SAMPLE, proposed: int = PROPOSED) -> DataFrame:
@@ -186,18 +203,20 @@ def frequent(docs: DataFrame, least: int = FREQUENT, sample: int = SAMPLE, propo
     """
     whole = docs.select("lang", "text")
     part = docs.filter(F.col("chance") % sample == 0).select("lang", "text")
-    short = stage(counts(part, range(1, 3), [], 1).filter(F.col("n") >= proposed))
-    longer = counts(part, range(3, WORDS), [filter_of(short)], 3).filter(F.col("n") >= proposed)
-    filters = [filter_of(short.select("hash").unionAll(longer.select("hash")))]
-    found = None
+    enough = F.col("n") >= proposed
+    short = filter_of(counts(part, range(1, 3), [], False).filter(enough))
+    longer = filter_of(counts(part, range(3, WORDS + 1), [short], False).filter(enough))
+    filters, found = [short | longer], None
     while True:
-        enough = (F.col("n") >= least) | (F.col("size") == 0)
-        new = stage(counts(whole, range(0 if found is None else 2, WORDS + 1), filters).filter(enough))
-        found = new if found is None else found.unionAll(new)
-        missed = new.filter(~F.col("known") & F.col("size").between(1, WORDS - 1))
+        sizes = range(0 if found is None else 1, WORDS + 1)
+        new = stage(counts(whole, sizes, filters).filter((F.col("n") >= least) | (F.col("size") == 0)))
+        named = new.filter(F.col("phrase").isNotNull()).select("lang", "size", "phrase", "n")
+        found = named if found is None else found.unionAll(named)
+        missed = new.filter(F.col("phrase").isNull() | ~F.col("held") & F.col("size").between(1, WORDS - 1))
         if missed.isEmpty():
-            return found.select("lang", "size", "phrase", "n")
-        filters = [np.bitwise_or.reduce(filters), filter_of(missed)]
+            return found
+        # Two older states are enough: the first, and the one before this pass.
+        filters = [*filters[:1], *filters[1:][-1:], filters[-1] | filter_of(missed)]
 
 
 def _from(phrase: Column, word: Column | int) -> Column:
