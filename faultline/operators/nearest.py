@@ -201,31 +201,38 @@ def _pairs(leaves: DataFrame, points: DataFrame, levels: tuple[int, int]) -> Dat
 def _pruned(pairs: DataFrame, k: int) -> DataFrame:
     """Drops (leaf, site) pairs with k sites nearer all over the leaf.
 
-    The nearest of each of k groups of sites makes k rivals. They lie within some
-    angle of the leaf's centre, so sites more than 2 h beyond that are out. Of the
-    others, many lie behind a rival: with r nearer the centre c, every point p of the
-    leaf is nearer to r than to s when p.(r - s) > 0 over the whole cap of radius h
-    around c, that is when (c.v) cos h - |v - (c.v) c| sin h > 0, v = r - s.
+    The nearest of each of k groups of sites makes k rivals, once for the leaf's centre
+    and once for each corner. Those of the centre lie within some angle of it, so sites
+    more than 2 h beyond that are out. Of the others, many lie behind the rivals of one
+    of these points. Every point p of the leaf is a sum of its corners with weights
+    above zero, so r is nearer to all of it than s when p.(r - s) > 0 at the corners.
+    There p is (1, u, v) in the face's own axes.
     """
+    axes = [
+        "(1 - 2 * (face % 2)) * CASE WHEN face < 2 THEN _sx WHEN face < 4 THEN _sy ELSE _sz END AS _o",
+        "if(face < 2, _sy, _sx) AS _p", "if(face < 4, _sz, _sy) AS _q",
+    ]
+    side = "shiftleft(1L, level)"
+    ends = [f"(2D * {c} + {2 * n}) / {side} - 1 AS _{e}{n}" for c, e in (("i", "u"), ("j", "v")) for n in (0, 1)]
     pairs = pairs.selectExpr("*", *[f"{c} AS _c{a}" for c, a in zip(centre("level"), "xyz")])
-    pairs = pairs.selectExpr("*", f"{dot('_c', '_s')} AS _dot", f"{half_angle_sql('level')} AS _h")
+    pairs = pairs.selectExpr("*", f"{dot('_c', '_s')} AS _dot", f"{half_angle_sql('level')} AS _h", *axes, *ends).drop("_cx", "_cy", "_cz")
     group = F.expr(f"pmod(xxhash64(site_id), {k})").alias("_group")
+    at = ["_dot", *(f"_o + {u} * _p + {v} * _q" for u in ("_u0", "_u1") for v in ("_v0", "_v1"))]
     # Column by column, so that it is a hash aggregate; all of them take the same row.
-    nearest = [F.max("_dot").alias("_dot"), *(F.max_by(f"_s{a}", "_dot").alias(f"_s{a}") for a in "xyz")]
-    rival = F.collect_list(F.struct("_dot", "_sx", "_sy", "_sz")).alias("_rivals")
-    top = pairs.groupBy(*LEAF, group).agg(*nearest).groupBy(*LEAF).agg(rival)
+    nearest = [F.max_by(c, F.expr(at[n])).alias(f"{c}{n}") for n in range(len(at)) for c in ("_o", "_p", "_q")]
+    rivals = [F.collect_list(F.struct(*(F.col(f"_{c}{n}").alias(c) for c in "opq"))) for n in range(len(at))]
+    top = pairs.groupBy(*LEAF, group).agg(F.max("_dot").alias("_dot"), *nearest)
+    top = top.groupBy(*LEAF).agg(F.min("_dot").alias("_floor"), F.array(*rivals).alias("_rivals"))
     # With fewer groups than k a leaf keeps all it has. 1e-7 covers rounding in acos.
-    floor = "array_min(transform(_rivals, r -> r._dot))"
-    floor = f"cos(least(acos(least({floor}, 1D)) + 2 * {half_angle_sql('level')} + 1e-7D, pi())) - 1e-15D"
-    top = top.selectExpr(*LEAF, f"if(size(_rivals) < {k}, null, _rivals) AS _rivals", f"if(size(_rivals) < {k}, -2D, {floor}) AS _floor")
-    along = f"({dot('_c', 'r._s')} - _dot)"
-    apart = f"({chord_squared('r._s', '_s')})"
-    not_beaten = (
-        f"exists(_rivals, r -> {along} * cos(_h)"
-        f" - sqrt(greatest(0D, {apart} - {along} * {along})) * sin(_h) <= {_MARGIN}D)"
-    )
-    near = pairs.join(top, LEAF).filter("_dot >= _floor")
-    return near.filter(f"_rivals IS NULL OR {not_beaten}").select(*LEAF, *SITE)
+    floor = f"cos(least(acos(least(_floor, 1D)) + 2 * {half_angle_sql('level')} + 1e-7D, pi())) - 1e-15D"
+    few = f"size(_rivals[0]) < {k}"
+    top = top.selectExpr(*LEAF, f"if({few}, null, _rivals) AS _rivals", f"if({few}, -2D, {floor}) AS _floor")
+    # The same difference of angles is less of a dot product near the site; 4e-15 covers rounding.
+    margin = f"2 * {_MARGIN}D * (_h + sqrt(greatest(0D, 2 - 2 * _dot))) + 4e-15D"
+    across = (f"least(_{e}0 * (r.{c} - _{c}), _{e}1 * (r.{c} - _{c}))" for e, c in (("u", "p"), ("v", "q")))
+    beaten = f"exists(_rivals, g -> forall(g, r -> r.o - _o + {' + '.join(across)} > _margin))"
+    near = pairs.join(top, LEAF).filter("_dot >= _floor").selectExpr("*", f"{margin} AS _margin")
+    return near.filter(f"_rivals IS NULL OR NOT {beaten}").select(*LEAF, *SITE)
 
 
 def _leaf_rows(pairs: DataFrame, per_row: int | None) -> DataFrame:
@@ -333,6 +340,7 @@ def _bottom_up(points: DataFrame, k: int, per_cell: int, per_row: int, per_leaf:
     """
     leaves = stage(_leaves(points, k, per_leaf), f"{root}/leaves")
     depth = leaves.agg(F.min("level"), F.max("level")).first()
+    points = points.repartition(points.sparkSession.sparkContext.defaultParallelism, "site_id")
     met = stage(_pairs(leaves, points, depth), f"{root}/met")
     pairs = stage(_pruned(met, k), f"{root}/pairs-0")
     built, cut = _Built(), 0
