@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.cells import cell_id, level_for_radius, with_cover
 from ..functions.geo import DISTANCES, EARTH_RADIUS_KM, chord_squared, with_unit_vector
 from ..session import stage
-from .hotkeys import BROADCAST_BYTES, HOT_ROWS, measured, salted_join
+from .hotkeys import BROADCAST_BYTES, HOT_ROWS, TASK_PAIRS, key_sizes, measured, pairs_of, salted_join, tasks_for
 
 STRATEGIES = ("auto", "broadcast", "grid")
 
@@ -32,6 +32,7 @@ def within_distance(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
     method: str = "haversine",
+    task_pairs: int = TASK_PAIRS,
 ) -> DataFrame:
     """All (event, site) pairs with distance_km < ``km``.
 
@@ -41,7 +42,9 @@ def within_distance(
     the exact distance decides. Sites are broadcast when their measured size
     allows, which leaves events where they are; else both sides are shuffled by
     cell with hot cells cut up. ``events`` may be a stream; the listed sites are
-    then written out once, not made again for every micro-batch.
+    then written out once, not made again for every micro-batch. Pairs grow with the
+    product of both sides, so the pairs of cells are counted first and events dealt
+    over tasks of about ``task_pairs`` each; a stream keeps the splits of its source.
 
     ``method`` is the distance: "haversine" or "slc".
     """
@@ -57,23 +60,24 @@ def within_distance(
     there = there.withColumn("cell", cell_id("_e", level_for_radius(radius)))
     size = 0 if strategy == "grid" else measured(here)[1]
     if choose(strategy, size, broadcast_bytes):
+        if not events.isStreaming:
+            tasks = tasks_for(there, pairs_of(key_sizes(there, here, "cell")), task_pairs)
+            there = there.repartition(tasks) if tasks else there
         pairs = there.join(F.broadcast(here), "cell")
     elif events.isStreaming:
         # A micro-batch is bounded by the source's rate limit; no counting pass.
         pairs = there.join(here, "cell")
     else:
-        pairs = salted_join(there, here, "cell", hot_rows)
-    # Cheap test on the chord first; the slack leaves the edge to the exact one.
-    # coalesce keeps Spark from testing the vectors for NULL in the scan.
-    limit = 4 * math.sin(radius / 2) ** 2 + 1e-12
-    near = f"coalesce({chord_squared('_e', '_s')} <= {limit!r}D, false)"
+        pairs = salted_join(there, here, "cell", hot_rows, task_pairs)
+    # Tests on the chord first; the slack leaves the edge to the exact one, so that most
+    # pairs take the distance once. coalesce keeps Spark from testing the vectors for NULL in the scan.
+    limit, chord = 4 * math.sin(radius / 2) ** 2, chord_squared("_e", "_s")
+    distance = DISTANCES[method](F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
+    inside = F.expr(f"{chord} < {limit - 1e-12!r}D") if limit > 2e-12 else F.lit(False)
+    near = F.expr(f"{chord} <= {limit + 1e-12!r}D") & (inside | (distance < km))
     return (
-        pairs.filter(near)
-        .withColumn(
-            "distance_km",
-            DISTANCES[method](F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon")),
-        )
-        .filter(F.col("distance_km") < km)
+        pairs.filter(F.coalesce(near, F.lit(False)))
+        .withColumn("distance_km", distance)
         .select(*events.columns, *sites.columns, "distance_km")
     )
 

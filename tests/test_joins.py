@@ -226,3 +226,16 @@ def test_few_candidates_beside_clustered_sites(spark, k):
     km = F.round(haversine_km(*(F.col(c) for c in ("lat", "lon", "site_lat", "site_lon"))), 6)
     near = e.crossJoin(s).groupBy("event_id").agg(F.slice(F.array_sort(F.collect_list(F.struct(km.alias("km"), "site_id"))), 1, k).alias("best"))
     assert got == {(r.event_id, n): b.site_id for r in near.collect() for n, b in enumerate(r.best, 1)}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "grid"])
+def test_tasks_grow_with_the_pairs(spark, world, strategy, tmp_path):
+    """Few bytes can make many pairs: no task gets many more than ``task_pairs``, a cell of all pairs too."""
+    e = spark.range(300).selectExpr("cast(id AS int) AS event_id", "10 + id / 1e5 AS lat", "id / 1e5 AS lon").coalesce(1)
+    s = spark.range(200).selectExpr("cast(id AS int) AS site_id", "10 + id / 1e5 AS site_lat", "id / 1e5 AS site_lon")
+    within_distance(e, s, 50.0, strategy, task_pairs=2000).write.parquet(f"{tmp_path}/pairs")
+    tasks = spark.read.parquet(f"{tmp_path}/pairs").groupBy(F.input_file_name()).count().collect()
+    assert sum(t["count"] for t in tasks) == 60_000
+    assert len(tasks) > 10 and max(t["count"] for t in tasks) <= 12_000
+    e, s, brute = world
+    assert found(within_distance(e, s, 5000.0, strategy, task_pairs=50)) == {p for p, d in brute.items() if d < 5000.0}
