@@ -17,6 +17,7 @@ batch reads only what earlier ones wrote, so it may run again after a failure.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -32,6 +33,8 @@ from .streams import batch_stream, into_batch_folder
 
 #: Parts of the ledger, words of 64 bits in each part's bitmap, and batches after which keys are merged.
 BUCKETS, WORDS, MERGE_EVERY = 64, 4096, 32
+#: Parts that each split of a batch is dealt into, and bytes of messages that a task then gets, about.
+PARTS, TASK_BYTES = 16, 32 << 20
 
 _KEY = ["_k1", "_k2"]
 
@@ -143,6 +146,18 @@ def fresh_rows(rows: DataFrame, ledger: Ledger) -> DataFrame:
     return fresh
 
 
+def dealt(batch: DataFrame) -> tuple[DataFrame, int]:
+    """``batch`` cached in small parts, and over how many tasks to work on it.
+
+    A source bounds its splits as they are stored; messages that compress well are many
+    times that once they are read, and a task would go through all of it at every step.
+    """
+    parts = PARTS * max(1, batch.rdd.getNumPartitions())
+    cached = batch.repartition(parts).persist()
+    size = cached.agg(F.sum(F.octet_length("json_string"))).first()[0] or 0
+    return cached, max(batch.sparkSession.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+
+
 def accounted(
     tagged: DataFrame,
     root: str,
@@ -167,7 +182,10 @@ def accounted(
     def write(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         ledger = Ledger(spark, accounts.at("ledger"), n, fmt)
-        batch = batch.persist()
+        cached, tasks = dealt(batch)
+        batch = cached.coalesce(tasks)
+        shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(int(shuffled), tasks)))
         try:
             newest = ledger.newest()
             behind = F.lit(False)
@@ -207,6 +225,7 @@ def accounted(
             failed.write.format(fmt).mode("append").save(accounts.at("failed"))
             raise
         finally:
-            batch.unpersist()
+            spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+            cached.unpersist()
 
     return batch_stream(tagged, write, checkpoint, trigger)

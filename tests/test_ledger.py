@@ -129,3 +129,20 @@ def test_failed_attempts_are_counted(spark, tmp_path, monkeypatch):
 def test_keys_with_nulls_differ(spark):
     rows = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("", "a")], "x string, y string")
     assert ledger.with_key(rows, ["x", "y"]).select("_k1", "_k2").distinct().count() == 4
+
+
+def test_a_large_split_is_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    """One split of a source that reads as many bytes is no single task at any later step."""
+    monkeypatch.setattr(ledger, "TASK_BYTES", 2000, raising=False)
+    monkeypatch.setattr(ledger, "batch_stream", lambda tagged, write, *_: write)
+    write = ledger.accounted(None, str(tmp_path), "", ["unid"], "event_time", ["event_time"])
+    messages = [at(f"u{n % 60}", "00:00", lat=99.0 if n % 2 else 1.0) for n in range(120)]
+    shuffled = spark.conf.get("spark.sql.shuffle.partitions")
+    write(tag_events(values(spark, messages).coalesce(1)), 0)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == shuffled
+    found = ledger.Accounts(str(tmp_path))
+    files = found.read(spark, "rejects").groupBy(F.input_file_name()).count().collect()
+    assert sum(f["count"] for f in files) == 60 and len(files) > 4
+    assert {(r.outcome, r.reason): r.messages for r in found.totals(spark).collect()} == {
+        ("accepted", ""): 30, ("repeat", ""): 30, ("rejected", "out_of_range"): 60,
+    }
