@@ -61,7 +61,8 @@ UNITS = frozenset(
     cal kcal c f k percent dollar dollars cent cents euro euros usd eur gbp degree degrees""".split()
 )
 
-_TOKENS = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|\w+|[.!?:;\n]+")
+#: Words come first, as most tokens are; they and numbers begin differently.
+_TOKENS = re.compile(r"[^\W\d_]+|\d+(?:[.,]\d+)*|\w+|[.!?:;\n]+")
 _PLAIN, _NUMBER, _CAPITAL, _UNIT, _STOP = range(5)
 _FACTOR = 0x9E3779B97F4A7C15
 _POWERS = np.array([pow(_FACTOR, k, 1 << 64) for k in range(WINDOW)], np.uint64)
@@ -102,8 +103,11 @@ class _Tokens:
         if len(self.number) > CACHE:
             self.__init__()
         tokens = _TOKENS.findall(text)
-        self._learn([t for t in set(tokens) if t not in self.number])
-        at = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+        try:
+            at = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
+        except KeyError:  # few texts have a token that none before had
+            self._learn([t for t in set(tokens) if t not in self.number])
+            at = np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
         return self.hashes[at], self.kinds[at]
 
 
@@ -140,8 +144,9 @@ def _hashes(values: np.ndarray, size: int) -> np.ndarray:
     """Hashes of the windows of ``size`` values."""
     n = max(0, len(values) - size + 1)
     hashes = np.zeros(n, np.uint64)
+    mixed = values ^ (values >> np.uint64(29))
     for k in range(size):
-        hashes += (values[k : k + n] ^ (values[k : k + n] >> np.uint64(29))) * _POWERS[k]
+        hashes += mixed[k : k + n] * _POWERS[k]
     return hashes ^ (hashes >> np.uint64(32))
 
 

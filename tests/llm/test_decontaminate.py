@@ -81,3 +81,13 @@ def test_short_item_in_a_long_text(spark):
     docs = spark.createDataFrame([(1, "word " * 200_000), (2, "words")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "Word!")], "item_id long, text string")
     assert [(r.doc_id, r.coverage) for r in decontaminate.leaks(docs, bench).collect()] == [(1, 1.0)]
+
+
+def test_known_tokens_are_only_looked_up(monkeypatch):
+    """A text without a new token isn't searched for any; the tokens are the same."""
+    tokens = decontaminate._Tokens()
+    first = [x.tolist() for x in tokens("Two trains leave a_b at 12.5 km.")]
+    learned = []
+    monkeypatch.setattr(decontaminate._Tokens, "_learn", lambda self, new: learned.append(new))
+    assert [x.tolist() for x in tokens("Two trains leave a_b at 12.5 km.")] == first
+    assert learned == []
