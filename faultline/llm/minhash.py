@@ -9,10 +9,11 @@ survivors are compared exactly, on their full sets.
 
 Buckets may be large, so pairs are never spelled out within one. First the members of
 a bucket are compared with one of them, its head, and what is linked is merged. Where
-a bucket is still in parts, those outside its head's part meet HEADS other heads.
+a bucket is still in parts, with CROWD members or more outside the largest, the other
+members meet HEADS other heads of them.
 What is apart after that are members without a link to any head: they are compared
 with all other parts, as far as the sets share one of their rarest shingles, which
-linked ones do for certain.
+linked ones do for certain. Few others do, so signatures are not asked again.
 """
 
 from __future__ import annotations
@@ -57,6 +58,8 @@ NEAR = Likeness(5, 80, 5, 24)
 BATCH, MISS = 20, 1e-6
 #: Heads that the members of a bucket still in parts are compared with.
 HEADS = 4
+#: Members outside a bucket's largest part from which on that is worth it; fewer are left to the rare shingles.
+CROWD = 32
 #: Values of which one bit each makes the sketch.
 SKETCH = 64
 #: Bits of the table of counts that says how rare a shingle is.
@@ -211,23 +214,41 @@ def _verifying(how: Likeness) -> Callable:
     return run
 
 
+def _ends(df: DataFrame, *columns: str) -> list[DataFrame]:
+    """``df`` by the first and by the second end of a pair, with ``columns`` as struct x and y."""
+    return [df.select(F.col("node").alias(k), F.struct(*columns).alias(v)) for k, v in (("a", "x"), ("b", "y"))]
+
+
+def _sized(how: Likeness) -> Column:
+    """Whether the smaller of x and y is large enough for a link: no more than it can be shared."""
+    sizes = F.col("x.size"), F.col("y.size")
+    return 100 * F.least(*sizes) >= how.percent * F.greatest(*sizes)
+
+
 def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
-    """The links among the candidate pairs (a, b): signatures batch by batch, then whole sets."""
-    ends = lambda df, c: [df.select(F.col("node").alias(k), F.col(c).alias(v)) for k, v in (("a", "x"), ("b", "y"))]
-    one, two = ends(nodes, "sign")
-    likely = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(_likely(how), "a long, b long")
-    one, two = ends(texts, "text")
-    met = stage(likely).join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    """The links among the candidate pairs (a, b): sizes, signatures batch by batch, then whole sets."""
+    one, two = _ends(nodes, "size", "sign")
+    met = pairs.join(one, "a").join(two, "b").filter(_sized(how))
+    met = met.select("a", "b", F.col("x.sign").alias("x"), F.col("y.sign").alias("y"))
+    likely = met.mapInArrow(_likely(how), "a long, b long")
+    return _verified(stage(likely), texts, how)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
+    """The links among the candidate pairs (a, b) by whole sets."""
+    one, two = _ends(texts, "text")
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", F.col("x.text").alias("x"), F.col("y.text").alias("y"))
     return stage(met.mapInArrow(_verifying(how), "a long, b long"))
 
 
 def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``members`` (node, band, ...) of buckets in more than one part, with the node's and the largest part's root."""
+    """``members`` (node, band, ...) of buckets in more than one part, with the node's and the largest part's root,
+    and how many members are outside that part."""
     rooted = stage(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     top = F.max(F.struct("n", "root")).alias("top")
-    mixed = parts.groupBy("band").agg(top, F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    return rooted.join(mixed.select("band", F.col("top.root").alias("main")), "band")
+    mixed = parts.groupBy("band").agg(top, F.sum("n").alias("all")).filter("`all` > top.n")
+    return rooted.join(mixed.selectExpr("band", "top.root AS main", "`all` - top.n AS outside"), "band")
 
 
 def _pairs(met: DataFrame) -> DataFrame:
@@ -242,11 +263,16 @@ def _agree(how: Likeness) -> Column:
 
 
 def _with_heads(apart: DataFrame, how: Likeness) -> DataFrame:
-    """Pairs of the members of a bucket with HEADS of them, as far as they are in other parts."""
-    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("_h"), "node", "root", "bits")) for i in range(HEADS)]
+    """Pairs of the members of a crowded bucket with HEADS of them, as far as they are in other parts.
+
+    The bucket's own head has met all of them.
+    """
+    apart = apart.filter((F.col("node") != F.col("head")) & (F.col("outside") >= CROWD))
+    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("_h"), "node", "root", "bits", "size")) for i in range(HEADS)]
     heads = apart.groupBy("band").agg(F.array(*firsts).alias("heads"))
     heads = heads.select("band", F.explode(F.array_distinct("heads")).alias("y"))
-    return _pairs(apart.alias("x").join(heads, "band").filter((F.col("root") != F.col("y.root")) & _agree(how)))
+    other = F.col("x.root") != F.col("y.root")
+    return _pairs(apart.alias("x").join(heads, "band").filter(other & _sized(how) & _agree(how)))
 
 
 def _counting(how: Likeness) -> Callable:
@@ -306,7 +332,7 @@ def _rest(apart: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
 def links(docs: DataFrame, nodes: DataFrame, how: Likeness = DOCUMENTS) -> DataFrame:
     """(a, b): links between nodes, enough of them to connect all that are linked.
 
-    ``nodes`` is (node, t1, t2, bits, sign), one row per distinct set.
+    ``nodes`` is (node, t1, t2, size, bits, sign), one row per distinct set.
     """
     buckets = stage(_buckets(nodes, how))
     need = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "t1", "t2")
@@ -315,11 +341,11 @@ def links(docs: DataFrame, nodes: DataFrame, how: Likeness = DOCUMENTS) -> DataF
     texts = stage(whole.join(need, ["t1", "t2"]).select("node", "text").dropDuplicates(["node"]))
     stars = buckets.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     found = _confirmed(stars, nodes, texts, how)
-    apart = _apart(buckets.select("node", "band"), components(found)).drop("root", "main")
-    apart = stage(apart.join(nodes.select("node", "bits"), "node"))
+    apart = _apart(buckets, components(found)).drop("root", "main", "outside")
+    apart = stage(apart.join(nodes.select("node", "bits", "size"), "node"))
     found = found.unionAll(_confirmed(_with_heads(_apart(apart, components(found)), how), nodes, texts, how))
     rest = _rest(_apart(apart, components(found)), texts, how)
-    return found.unionAll(_confirmed(rest, nodes, texts, how))
+    return found.unionAll(_verified(rest, texts, how))
 
 
 def classes(docs: DataFrame, how: Likeness = DOCUMENTS) -> tuple[DataFrame, DataFrame]:
@@ -331,7 +357,7 @@ def classes(docs: DataFrame, how: Likeness = DOCUMENTS) -> tuple[DataFrame, Data
     rows = stage(signatures(docs, how))
     key = ["one", "two"]
     full = rows.filter("n_shingles > 0")
-    one_row = F.min(F.struct("t1", "t2", "bits", "sign")).alias("row")
+    one_row = F.min(F.struct("t1", "t2", F.col("n_shingles").alias("size"), "bits", "sign")).alias("row")
     sets = full.groupBy(*key).agg(one_row, F.min("doc_id").alias("id"))
     nodes = stage(positions(sets, *map(F.col, key)).select(F.col("position").alias("node"), "id", *key, "row.*"))
     rooted = nodes.select("node", "id", *key).join(components(links(docs, nodes, how)), "node", "left")

@@ -127,3 +127,12 @@ def test_copies_in_hundreds(spark):
     rows = [(i, "the same words over and over again in every row" if i % 3 else f"row {i} has its own words {i} {i + 1}") for i in range(600)]
     got = found(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
     assert got == brute(rows)
+
+
+def test_few_members_outside_the_largest_part_meet_no_more_heads(spark):
+    """A bucket's own head has met all; the others are paired anew in crowded buckets only."""
+    schema = "band long, node long, head long, root long, main long, outside long, bits long, size long"
+    small = [(1, n, 10, n, 10, 4, 0, 20) for n in range(10, 15)]
+    crowded = [(2, 100 + n, 100, 100 + n, 100, 999, 0, 20) for n in range(6)]
+    got = minhash._with_heads(spark.createDataFrame(small + crowded, schema), minhash.DOCUMENTS).collect()
+    assert got and all(100 < r.a < r.b for r in got)
