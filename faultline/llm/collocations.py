@@ -4,15 +4,16 @@ A sample of the documents proposes phrases: those that reach a lowered count the
 A full pass then counts every phrase whose two parts without the last and without the
 first word were proposed: the proposals and their negative border, as far as it
 occurs. A phrase of the border that turns out frequent was missed by the sample, and
-longer ones may have been missed with it: it joins the proposals, and a further pass
-counts it and what became a candidate by it, until the border holds no frequent one.
+longer ones may have been missed with it: it joins the proposals, and a second pass
+counts it, what became a candidate by it, and what would become one by those in turn.
 As a part of a phrase is at least as frequent as the phrase, all frequent phrases are
 counted then, whatever the sample was.
 
 Phrases are counted inside Arrow batches first, over numbers instead of words; what
 goes to the shuffle are the distinct candidates of a batch. The border is large and
 nearly all of it rare, so the first pass counts it by hash alone, which can only make
-a count too large; all else is counted by its words. Whether a phrase was proposed is
+a count too large; all else is counted by its words. Nearly every row of a batch is a
+group of its own there, so rows are dealt out by hash before they are summed. Whether a phrase was proposed is
 asked of a bitmap of fixed size. It may say yes by mistake, which counts a phrase in
 vain, never no.
 """
@@ -34,7 +35,7 @@ from .common import positions, stage
 #: Words of a phrase, at most, and how often a candidate occurs, at least.
 WORDS, FREQUENT = 4, 30
 #: One document of so many is in the sample, and the count that proposes a phrase there.
-SAMPLE, PROPOSED = 4, 2
+SAMPLE, PROPOSED = 4, 6
 #: A phrase goes if a longer one around it has this share, in percent, of its occurrences.
 COVERED = 80
 TOP = 2000
@@ -45,6 +46,8 @@ AT_ONCE = 1 << 19
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = 64 - FILTER_BITS
+#: Bits of a hash that phrases without a name are counted by: fewer bytes for each.
+_HASHED = np.uint64((1 << 64) - (1 << 24))
 #: Ends of pieces become line feeds, the other white space a space.
 _PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _END = b"\n"
@@ -100,12 +103,13 @@ class Documents:
     def counts(self, sizes: range, known: list[Callable], named: bool = True) -> Iterator[pa.RecordBatch]:
         """Rows of _COUNTS for the phrases of ``sizes`` words.
 
-        ``known`` has what was known, ``(size, hashes) -> mask``, in each pass so far and
-        in this one. A phrase is a candidate if its parts without an end word are known,
-        a word always. The first pass counts candidates that are known themselves by
-        their words and others by hash; the second counts those by their words that
-        became known, and like all later ones new candidates. Without ``named`` all go
-        by hash. Size 0 has each lang's number of words.
+        ``known`` has what was known, ``(size, hashes) -> mask``, in the first pass and,
+        in the second, then. A phrase is a candidate if its parts without an end word are
+        known, a word always. The first pass counts candidates that are known themselves
+        by their words and others by hash; the second counts those by their words that
+        became known, and new candidates, which pass for known from then on, so that what
+        they are parts of is counted with them. Without ``named`` all go by hash. Size 0
+        has each lang's number of words.
         """
         coded = pa.array(self.words, pa.binary()).dictionary_encode()
         names, word = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
@@ -115,62 +119,59 @@ class Documents:
         at = np.flatnonzero(word != names.index(_END).as_py())  # where phrases of the present size start
         if 0 in sizes:
             total = np.bincount(lang[at], minlength=len(langs))
-            yield self._rows(0, langs, pa.array([""] * len(langs), pa.string()), np.zeros(len(langs), np.uint64), np.ones(len(langs), bool), total)
+            yield self._rows(np.zeros(len(langs), np.uint64), total, langs, pa.array([""] * len(langs), pa.string()))
         of_word = np.array([xxh64_intdigest(w) for w in names.to_pylist()], np.uint64)
         of_lang = np.array([xxh64_intdigest(x, 1) for x in langs.to_pylist()] or [0], np.uint64)
         place = np.full(len(word) + 1, -1)  # by start: the number of the phrase there, if it is known
-        earlier = [None] * len(known[:-1])  # per earlier pass and distinct phrase: whether it was known then
+        second = len(known) > 1
         for size in range(1, max(sizes) + 1):
             if size == 1:
                 number, first, n = _numbered(lang[at] << 32 | word[at])
                 new = _mixed(of_word[word[at[first]]] + of_lang[lang[at[first]]])
-                asked = [np.ones(len(n), bool) for _ in earlier]  # per earlier pass: whether it was a candidate
+                asked = np.ones(len(n), bool)  # in the second pass: whether it was a candidate in the first
             else:
                 at = np.flatnonzero((place[:-1] >= 0) & (place[1:] >= 0))
                 left, right = place[at], place[at + 1]
                 number, first, n = _numbered(left << 32 | right)
                 left, right = left[first], right[first]
                 new = _mixed(hashes[left] * _MIX + hashes[right])
-                asked = [e[left] & e[right] for e in earlier]
+                asked = earlier[left] & earlier[right] if second else None
             if not len(at):
                 return
-            held = known[-1](size, new)
-            hashes, earlier = new, [a & k(size, new) for a, k in zip(asked, known)]
+            hashes, held = new, known[-1](size, new)
+            if second:
+                held, earlier = held | ~asked, asked & known[0](size, new)
             if size in sizes:
-                if not asked:
-                    by_word, by_hash = (held, ~held) if named else (np.zeros(len(n), bool), np.ones(len(n), bool))
+                if second:
+                    by_word, by_hash = held & ~earlier, np.zeros(len(n), bool)
                 else:
-                    by_word, by_hash = ~asked[-1], np.zeros(len(n), bool)
-                    if len(asked) == 1:
-                        by_word = by_word | ~earlier[0] & held
+                    by_word, by_hash = (held, ~held) if named else (np.zeros(len(n), bool), np.ones(len(n), bool))
                 if by_word.any():
                     starts = at[first[by_word]]
                     each = [names.take(pa.array(word[starts + k])) for k in range(size)]
                     phrases = pc.binary_join_element_wise(*each, pa.scalar(b" ", pa.binary())).cast(pa.string())
-                    yield self._rows(size, langs.take(pa.array(lang[starts])), phrases, new[by_word], held[by_word], n[by_word])
+                    yield self._rows(new[by_word], n[by_word], langs.take(pa.array(lang[starts])), phrases)
                 if by_hash.any():
-                    none = pa.nulls(int(by_hash.sum()), pa.string())
-                    yield self._rows(size, none, none, new[by_hash], held[by_hash], n[by_hash])
+                    yield self._rows(new[by_hash] & _HASHED, n[by_hash])
             place[:] = -1
             place[at] = np.where(held[number], number, -1)
 
     @staticmethod
-    def _rows(size: int, lang: pa.Array, phrase: pa.Array, hashes: np.ndarray, held: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        sizes = pa.array(np.full(len(n), size, np.int32))
-        rest = [pa.array(hashes.view(np.int64)), pa.array(held), pa.array(n.astype(np.int64))]
-        return pa.RecordBatch.from_arrays([lang, sizes, phrase, *rest], _NAMES)
+    def _rows(hashes: np.ndarray, n: np.ndarray, langs: pa.Array | None = None, phrases: pa.Array | None = None) -> pa.RecordBatch:
+        names = pa.nulls(len(n), pa.string()) if phrases is None else pc.binary_join_element_wise(langs, phrases, "\n")
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), names, pa.array(n.astype(np.int64))], _NAMES)
 
 
-_COUNTS = "lang string, size int, phrase string, hash long, held boolean, n long"
-_NAMES = ["lang", "size", "phrase", "hash", "held", "n"]
+#: A name is a lang, a line feed and a phrase; what is counted by hash has none.
+_COUNTS, _NAMES = "hash long, name string, n long", ["hash", "name", "n"]
 
 
 def counts(docs: DataFrame, sizes: range, filters: list[np.ndarray], named: bool = True) -> DataFrame:
-    """Counts (_COUNTS) of the candidates in ``docs`` (lang, text), see ``Documents.counts``.
+    """(hash, lang, size, phrase, n) of the candidates in ``docs`` (lang, text), see ``Documents.counts``.
 
-    Each pass knew what is in the ``filters`` up to its own. Sizes that no filter has
-    been made for are known: all without a filter, and without ``named`` those of
-    ``sizes``.
+    The first pass knows what is in the first of ``filters``, the second what is in
+    either. Sizes that no filter has been made for are known: all without a filter, and
+    without ``named`` those of ``sizes``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,11 @@ def counts(docs: DataFrame, sizes: range, filters: list[np.ndarray], named: bool
                     held = Documents()
         yield from held.counts(*how)
 
-    return docs.mapInArrow(run, _COUNTS).groupBy("lang", "size", "phrase", "hash", "held").agg(F.sum("n").alias("n"))
+    each = docs.mapInArrow(run, _COUNTS).repartition("hash")
+    each = each.groupBy("hash", "name").agg(F.sum("n").alias("n")).withColumn("phrase", F.substring_index("name", "\n", -1))
+    lang = F.expr("left(name, length(name) - length(phrase) - 1)").alias("lang")
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.expr("length(phrase) - length(replace(phrase, ' ', '')) + 1"))
+    return each.select("hash", lang, F.when(F.col("phrase").isNotNull(), size).alias("size"), "phrase", "n")
 
 
 def frequent(docs: DataFrame, least: int = FREQUENT, sample: int = SAMPLE, proposed: int = PROPOSED) -> DataFrame:
@@ -206,17 +211,14 @@ def frequent(docs: DataFrame, least: int = FREQUENT, sample: int = SAMPLE, propo
     enough = F.col("n") >= proposed
     short = filter_of(counts(part, range(1, 3), [], False).filter(enough))
     longer = filter_of(counts(part, range(3, WORDS + 1), [short], False).filter(enough))
-    filters, found = [short | longer], None
-    while True:
-        sizes = range(0 if found is None else 1, WORDS + 1)
-        new = stage(counts(whole, sizes, filters).filter((F.col("n") >= least) | (F.col("size") == 0)))
-        named = new.filter(F.col("phrase").isNotNull()).select("lang", "size", "phrase", "n")
-        found = named if found is None else found.unionAll(named)
-        missed = new.filter(F.col("phrase").isNull() | ~F.col("held") & F.col("size").between(1, WORDS - 1))
-        if missed.isEmpty():
-            return found
-        # Two older states are enough: the first, and the one before this pass.
-        filters = [*filters[:1], *filters[1:][-1:], filters[-1] | filter_of(missed)]
+    first = short | longer
+    new = stage(counts(whole, range(WORDS + 1), [first]).filter((F.col("n") >= least) | (F.col("size") == 0)))
+    found = new.filter(F.col("phrase").isNotNull()).select("lang", "size", "phrase", "n")
+    missed = new.filter(F.col("phrase").isNull())
+    if missed.isEmpty():
+        return found
+    more = counts(whole, range(1, WORDS + 1), [first, first | filter_of(missed)]).filter(F.col("n") >= least)
+    return found.unionAll(stage(more).select("lang", "size", "phrase", "n"))
 
 
 def _from(phrase: Column, word: Column | int) -> Column:

@@ -90,6 +90,23 @@ def test_any_sample_gives_the_same(spark, sample, proposed):
     assert len(found) == len(want) and {(r.lang, r.phrase): r.n for r in found} == want
 
 
+def test_all_documents_are_read_twice_at_most(spark, monkeypatch):
+    """Words, pairs, threes and fours that the sample missed are all counted by the second pass."""
+    passes, counts = [], collocations.counts
+
+    def seen(docs, sizes, filters, named=True):
+        passes.append(named)
+        return counts(docs, sizes, filters, named)
+
+    monkeypatch.setattr(collocations, "counts", seen)
+    rows = [(i, "one two three four five" if i % 2 else f"one two {i} three", "en") for i in range(80)]
+    df = spark.createDataFrame([(lang, text, 1) for _, text, lang in rows], "lang string, text string, chance long")
+    found = collocations.frequent(df, 30, 2, 2).filter("size > 0").collect()  # no document is in the sample
+    want = {(lang, " ".join(w)): n for (lang, w), n in brute_counts(rows).items() if n >= 30}
+    assert len(found) == len(want) and {(r.lang, r.phrase): r.n for r in found} == want
+    assert passes == [False, False, True, True]
+
+
 def test_small_filters_and_batches(spark, monkeypatch):
     """A filter full of mistakes counts phrases in vain, and short runs of words change nothing."""
     monkeypatch.setattr(collocations, "FILTER_BITS", 7)
