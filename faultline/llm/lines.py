@@ -6,7 +6,10 @@ its point on, so two lines share it with about the probability of their Jaccard
 similarity to the power of ROWS. Lines that share a band are compared exactly: first
 each with the least line of the bucket, then, once what is linked is merged, those
 of a bucket that are still apart. So a large bucket of near copies costs one
-comparison a line, and no link is lost to it.
+comparison a line, and no link is lost to it. Of the pairs still apart only those are
+made whose shingles can be the same often enough: a bit for each of 64 * PARITY slots
+says whether an odd number of a line's shingles falls there, and two lines differ in
+at least as many shingles as in bits.
 
 Shingles are hashed in NumPy, many lines at a time inside Arrow batches: as Spark
 expressions they took more CPU time than the limit allows (see the README).
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, stage, text_hash
@@ -39,6 +42,8 @@ _POWERS = np.array([pow(_FACTOR, k + 1, 1 << 64) for k in range(max(SHINGLE, ROW
 _POINTS = np.array([(i << 64) // BANDS for i in range(BANDS)], np.uint64)
 #: Stands for no character: fills up lines shorter than a shingle.
 _NONE = "\U0010ffff"
+#: Longs that hold the parities of a line's shingles, and lines whose parities are taken together.
+PARITY, PARITY_LINES = 32, 256
 #: Characters hashed together.
 AT_ONCE = 1 << 20
 
@@ -106,6 +111,43 @@ def bands(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def parities(hashes: np.ndarray, counts: np.ndarray, longs: int = PARITY) -> np.ndarray:
+    """For each set of hashes, a bit for each of 64 * longs slots: whether an odd number of them falls there."""
+    bits, ends = 64 * longs, np.cumsum(counts)
+    out = np.empty((len(counts), longs), np.int64)
+    for at in range(0, len(counts), PARITY_LINES):
+        n = counts[at : at + PARITY_LINES]
+        slot = hashes[ends[at] - n[0] : ends[at + len(n) - 1]] & np.uint64(bits - 1)
+        slot = slot.astype(np.int64) + np.repeat(np.arange(len(n)) * bits, n)
+        odd = np.bincount(slot, minlength=len(n) * bits) & 1
+        out[at : at + len(n)] = np.packbits(odd.astype(np.uint8).reshape(len(n), bits), axis=1).view(np.int64)
+    return out
+
+
+def parity_columns(longs: int = PARITY) -> list[str]:
+    return [f"odd{i}" for i in range(longs)]
+
+
+def may_link(percent: int, longs: int = PARITY) -> Column:
+    """Whether x and y (size, parities) can share ``percent`` % of their union; never wrongly no.
+
+    Of n elements in both sizes together, sets that do differ in n * (100 - percent) / (100 + percent) at most.
+    """
+    differ = " + ".join(f"bit_count(x.{c} ^ y.{c})" for c in parity_columns(longs))
+    return F.expr(f"({differ}) * {100 + percent} <= {100 - percent} * (x.size + y.size)")
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        lines, nodes = b.column("line").to_pylist(), b.column("node")
+        for part in _parts(lines):
+            hashes, counts = shingles(lines[part])
+            marks = [pa.array(x) for x in np.ascontiguousarray(parities(hashes, counts).T)]
+            yield pa.RecordBatch.from_arrays(
+                [nodes[part.start : part.stop], pa.array(counts), *marks], ["node", "size", *parity_columns()]
+            )
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         lines, nodes = b.column("line").to_pylist(), b.column("node")
@@ -161,7 +203,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, comparing=_compared) -> DataFra
 def links(rows: DataFrame, banding=_banded, comparing=_compared) -> DataFrame:
     """(a, b): links between nodes of lines; enough of them to connect all that are similar.
 
-    ``banding`` and ``comparing`` say what similar means, by default as in the module's head.
+    ``banding`` and ``comparing`` say what similar means, by default as in the module's head;
+    another ``comparing`` gets all pairs of a bucket that are apart.
     """
     keys = banded(rows, banding).select("node", F.explode("bands").alias("band"))
     bucket = Window.partitionBy("band")
@@ -175,10 +218,13 @@ def links(rows: DataFrame, banding=_banded, comparing=_compared) -> DataFrame:
     same = Window.partitionBy("band")
     apart = merged.withColumn("_lo", F.min("root").over(same)).withColumn("_hi", F.max("root").over(same))
     apart = stage(apart.filter("_lo < _hi").select("band", "node", "root", "head"))
-    x, y = apart.alias("x"), apart.alias("y")
-    rest = x.join(
-        y, (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-    )
+    pair = (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    if comparing is _compared:
+        marks = texts.join(apart.select("node").distinct(), "node", "left_semi")
+        marks = marks.mapInArrow(_marked, "node long, size long, " + ", ".join(f"{c} long" for c in parity_columns()))
+        apart = apart.join(stage(marks), "node")
+        pair = pair & may_link(round(100 * SIMILAR))
+    rest = apart.alias("x").join(apart.alias("y"), pair)
     rest = rest.filter("x.node <> x.head")  # pairs with the bucket's head have been compared
     rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     return first.unionAll(_similar(rest, texts, comparing))

@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 from faultline.llm import lines, queries
 
 K = lines.SHINGLE
@@ -65,6 +66,38 @@ def test_near_copies_in_a_large_group(spark):
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_pairs_apart_that_cannot_be_similar_are_not_made(spark, monkeypatch):
+    """Sixty edits of one line, all two thirds alike: they share buckets and no link."""
+    rng, made, similar = random.Random(4), [], lines._similar
+    base = [rng.choice("abcdefghijklmnop ") for _ in range(300)]
+    rows = []
+    for i in range(60):
+        line = list(base)
+        for at in rng.sample(range(0, 300, 10), 5):
+            line[at] = rng.choice("0123456789")
+        rows.append((i, "".join(line)))
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(lines, "_similar", counted)
+    assert lines.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(brute(dict(rows)))
+    assert made[1] < 60
+
+
+def test_parities_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 40, 3000, *[60] * 300)]
+    marks = lines.parities(np.concatenate(sets), np.array([len(s) for s in sets]))
+    bits = np.unpackbits(np.ascontiguousarray(marks).view(np.uint8), axis=1).astype(int)
+    for i in range(len(sets) - 1):
+        differ = len(np.setxor1d(sets[i], sets[i + 1]))
+        assert 0 < (bits[i] ^ bits[i + 1]).sum() <= differ
+    half = lines.parities(np.concatenate([sets[2], sets[2][:2990]]), np.array([len(sets[2]), 2990]))
+    assert (np.unpackbits(half[:1].view(np.uint8)) != np.unpackbits(half[1:].view(np.uint8))).sum() <= 10
+
+
 def test_recall_at_the_threshold(spark):
     """Pairs just above the threshold share a band nearly always."""
     rng = random.Random(9)
