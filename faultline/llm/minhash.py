@@ -13,7 +13,8 @@ a bucket is still in parts, with CROWD members or more outside the largest, the
 members meet HEADS other heads of them.
 What is apart after that are members without a link to any head: they are compared
 with all other parts, as far as the sets share one of their rarest shingles, which
-linked ones do for certain. Few others do, so signatures are not asked again.
+linked ones do for certain, and as the parities of their shingles (``lines.parities``)
+leave a link possible. Few others do, so signatures are not asked again.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from xxhash import xxh3_128_intdigest, xxh64_intdigest
 
 from .common import positions, stage
 from .components import components
-from .lines import _among
+from .lines import _among, may_link, parities, parity_columns
 
 
 @dataclass(frozen=True)
@@ -64,6 +65,8 @@ CROWD = 32
 SKETCH = 64
 #: Bits of the table of counts that says how rare a shingle is.
 COUNT_BITS = 20
+#: Steps of that table to a doubling of the count, and longs that hold the parities of a set's shingles.
+FINE, PARITY = 2048, 8
 #: Shingles hashed for all values at once.
 BLOCK = 2048
 #: Sets that a verifying task remembers.
@@ -298,12 +301,13 @@ def _beginning(how: Likeness, rarity: np.ndarray) -> Callable:
                 first = s[: len(s) - -(-how.percent * len(s) // 100) + 1].view(np.int64)
                 n = len(first)
                 each = [pa.array(first), *(pa.array([x.as_py()] * n) for x in (node, root, minor))]
-                yield pa.RecordBatch.from_arrays([*each, pa.array(np.arange(n)), pa.array(np.full(n, len(s)))], _BEGIN)
+                marks = [pa.array(np.full(n, x)) for x in parities(s, np.array([len(s)]), PARITY)[0]]
+                yield pa.RecordBatch.from_arrays([*each, pa.array(np.arange(n)), pa.array(np.full(n, len(s))), *marks], _BEGIN)
 
     return run
 
 
-_BEGIN = ["token", "node", "root", "minor", "place", "size"]
+_BEGIN = ["token", "node", "root", "minor", "place", "size", *parity_columns(PARITY)]
 
 
 def _rest(apart: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
@@ -313,20 +317,22 @@ def _rest(apart: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
     share has at most the rest of either set behind it. So linked sets meet near
     their beginnings; with rare shingles first, few others do. How rare a shingle is
     comes from counts in a table of fixed size, which costs pairs where it errs, not links.
+    Pairs whose parities say that they differ in more shingles than a link can are not made.
     """
     members = apart.groupBy("node", "root").agg(F.max(F.col("root") != F.col("main")).alias("minor"))
     members = stage(members.join(texts, "node"))
     counted = members.select("text").mapInArrow(_counting(how), "slot int, n long")
     counted = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # 2 ** COUNT_BITS rows at most
-    rarity = np.zeros(1 << COUNT_BITS, np.uint8)
-    rarity[counted.column("slot").to_numpy()] = np.ceil(np.log2(counted.column("n").to_numpy() + 1))
-    schema = "token long, node long, root long, minor boolean, place long, size long"
+    rarity = np.zeros(1 << COUNT_BITS, np.uint16)
+    rarity[counted.column("slot").to_numpy()] = np.minimum(FINE * np.log2(counted.column("n").to_numpy()), (1 << 16) - 1)
+    schema = ", ".join(f"{c} {'boolean' if c == 'minor' else 'long'}" for c in _BEGIN)
     begins = stage(members.select("node", "root", "minor", "text").mapInArrow(_beginning(how, rarity), schema))
     x, y = begins.filter("minor").alias("x"), begins.alias("y")
     once = ~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))
     behind = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     enough = behind * (100 + how.percent) >= how.percent * (F.col("x.size") + F.col("y.size"))
-    return _pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & enough))
+    apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+    return _pairs(x.join(y, apart & once & enough & may_link(how.percent, PARITY)))
 
 
 def links(docs: DataFrame, nodes: DataFrame, how: Likeness = DOCUMENTS) -> DataFrame:

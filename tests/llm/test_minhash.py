@@ -129,6 +129,23 @@ def test_copies_in_hundreds(spark):
     assert got == brute(rows)
 
 
+def test_rest_makes_no_pairs_that_cannot_be_linked(spark):
+    """Edits of one text that are all less than the threshold alike share rare shingles and no link."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(0, 200, 5), 4):
+            words[at] = f"x{i}y{at}"
+        rows.append((7, i, i, 0, 40, " ".join(words)))
+    apart = spark.createDataFrame(rows, "band long, node long, root long, main long, outside long, text string")
+    pairs = minhash._rest(apart.drop("text"), apart.select("node", "text"), minhash.DOCUMENTS).collect()
+    sets = {r[1]: minhash.shingle_set(r[5].encode()) for r in rows}
+    linked = {(a, b) for a in sets for b in sets if a < b and minhash.linked(sets[a], sets[b])}
+    assert linked <= {(r.a, r.b) for r in pairs} and len(pairs) <= len(linked) + 20
+
+
 def test_few_members_outside_the_largest_part_meet_no_more_heads(spark):
     """A bucket's own head has met all; the others are paired anew in crowded buckets only."""
     schema = "band long, node long, head long, root long, main long, outside long, bits long, size long"
