@@ -110,11 +110,12 @@ def links(prints: DataFrame) -> DataFrame:
     """(a, b) with a < b for all distinct fingerprints at most three bits apart.
 
     ``prints`` has distinct values in column ``fp``. Groups of copies are one
-    fingerprint here; a large anchor is split by the join's skew handling.
+    fingerprint here; a large anchor is split by the join's skew handling. Spark sizes
+    homes and replicas as if ``explode`` made one row of each, and would broadcast them.
     """
     home, near = _anchors(prints)
     meet = home.alias("x").join(
-        near.alias("y"),
+        near.alias("y").hint("merge"),
         (F.col("x.half") == F.col("y.half"))
         & (F.col("x.anchor") == F.col("y.anchor"))
         & (F.col("x.fp") != F.col("y.fp"))

@@ -67,6 +67,12 @@ def test_links_of_random_balls(spark):
     assert got == want
 
 
+def test_replicas_are_not_broadcast(spark):
+    """Spark sizes a table after ``explode`` as before it: 34 replicas a fingerprint would go to the driver."""
+    found = simhash.links(spark.range(1000).withColumnRenamed("id", "fp"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_every_half_has_a_home_and_replicas_reach_it():
     flips = simhash._flips()
     assert [len(f) for f in flips] == [2] + [17] * 31
