@@ -318,6 +318,8 @@ def _rest(apart: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
     their beginnings; with rare shingles first, few others do. How rare a shingle is
     comes from counts in a table of fixed size, which costs pairs where it errs, not links.
     Pairs whose parities say that they differ in more shingles than a link can are not made.
+    A file of beginnings is a small part of their size in memory, as all rows of a set are
+    alike but for the token; so they are not broadcast by it.
     """
     members = apart.groupBy("node", "root").agg(F.max(F.col("root") != F.col("main")).alias("minor"))
     members = stage(members.join(texts, "node"))
@@ -332,7 +334,7 @@ def _rest(apart: DataFrame, texts: DataFrame, how: Likeness) -> DataFrame:
     behind = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     enough = behind * (100 + how.percent) >= how.percent * (F.col("x.size") + F.col("y.size"))
     apart = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-    return _pairs(x.join(y, apart & once & enough & may_link(how.percent, PARITY)))
+    return _pairs(x.join(y.hint("merge"), apart & once & enough & may_link(how.percent, PARITY)))
 
 
 def links(docs: DataFrame, nodes: DataFrame, how: Likeness = DOCUMENTS) -> DataFrame:

@@ -146,6 +146,14 @@ def test_rest_makes_no_pairs_that_cannot_be_linked(spark):
     assert linked <= {(r.a, r.b) for r in pairs} and len(pairs) <= len(linked) + 20
 
 
+def test_beginnings_are_not_broadcast(spark):
+    """Their file is a tenth of their size in memory, so Spark would send many of them to the driver."""
+    rows = [(i, i, 0, " ".join(f"w{i * j}" for j in range(50))) for i in range(20)]
+    apart = spark.createDataFrame(rows, "node long, root long, main long, text string")
+    found = minhash._rest(apart.drop("text"), apart.select("node", "text"), minhash.NEAR)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_few_members_outside_the_largest_part_meet_no_more_heads(spark):
     """A bucket's own head has met all; the others are paired anew in crowded buckets only."""
     schema = "band long, node long, head long, root long, main long, outside long, bits long, size long"
