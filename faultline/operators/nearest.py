@@ -37,7 +37,7 @@ from ..functions.cells import (
 from ..functions.geo import DISTANCES, EARTH_RADIUS_KM, chord_squared, dot, with_unit_vector
 from ..session import scratch_dir, stage
 from .distance_join import choose
-from .hotkeys import BROADCAST_BYTES, HOT_ROWS, salted_join
+from .hotkeys import BROADCAST_BYTES, HOT_ROWS, TASK_PAIRS, salted_join, tasks_for
 
 CELL = ["face", "i", "j"]
 LEAF = ["face", "level", "i", "j"]
@@ -50,6 +50,8 @@ FEW_SITES = 4096
 STRIDE = 4
 #: Levels above a leaf's of the cells in which it meets sites.
 COARSE = 2
+#: Sites that leaves meet as one group, at most, unless they share a finest cell.
+GROUP_SITES = 32
 #: Times that leaves with too many candidates are cut, and by how many levels.
 CUTS, CUT_LEVELS = 3, 2
 #: Half angles around a cell's centre within which cells count as beside it.
@@ -72,7 +74,7 @@ class SiteIndex:
     levels: tuple[int, ...]
     k: int
     size: int
-    inner_size: int
+    inner_size: dict[int, int]  # bytes by level of the inner cells
     split: bool  # some cell has its candidates in several rows
 
 
@@ -132,8 +134,8 @@ def _start_level(sites: int) -> int:
     return max(1, round(math.log2(cells / FACES) / 2))
 
 
-def _leaves(points: DataFrame, k: int, per_leaf: int) -> DataFrame:
-    """(face, level, i, j): a partition of the sphere, with each cell's centre and reach.
+def _leaves(points: DataFrame, k: int, per_leaf: int) -> tuple[DataFrame, DataFrame]:
+    """(face, level, i, j): a partition of the sphere, with each cell's centre and reach; and the cells with sites of every level.
 
     A cell is cut if it or a cell beside it has a child with more than ``per_leaf``
     sites; so cells are no larger than about their distance from dense sites. Sites are
@@ -161,10 +163,11 @@ def _leaves(points: DataFrame, k: int, per_leaf: int) -> DataFrame:
     cells = cells.selectExpr("*", "shiftright(i, 1) AS _pi", "shiftright(j, 1) AS _pj")
     cells = cells.join(parents, ["face", "level", "_pi", "_pj"], "left").join(counts, LEAF, "left")
     cells = cells.select(*LEAF, F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_above", F.lit(0)).alias("_above"))
-    return cells.selectExpr(
+    cells = cells.selectExpr(
         *LEAF, f"greatest(level - {COARSE}, 0) AS _at", f"{_reach(k)} AS _reach",
         *[f"{c} AS _c{a}" for c, a in zip(centre("level"), "xyz")],
     )
+    return cells, counts
 
 
 def _centre_of(cell: str) -> str:
@@ -186,20 +189,85 @@ def _reach(k: int) -> str:
     return f"least(pi(), {known} ELSE {BESIDE + 3} * {parent} END + 2 * {h} + 1e-9D)"
 
 
-def _pairs(leaves: DataFrame, points: DataFrame, levels: tuple[int, int]) -> DataFrame:
-    """(leaf, site) for every site within a leaf's reach; they meet in cells COARSE levels above the leaf's."""
+def _groups(points: DataFrame, counts: DataFrame, levels: tuple[int, int], group_sites: int) -> DataFrame:
+    """Groups of sites that leaves meet as one: (group, level, face, i, j, _from, _to, _sx, _sy, _sz, _rho, sites).
+
+    A group is a cell with ``group_sites`` at most and all cells with sites below it. One
+    of its sites stands for it, the others are no further than the chord _rho from that.
+    A leaf that meets sites in cells of a level between _from and _to takes this group;
+    for each such level the groups hold every site once.
+    """
+    first, last = (max(n - COARSE, 0) for n in levels)
+    large = F.col("_n") > group_sites
+    above = counts.filter(large).filter(f"level < {MAX_LEVEL}")
+    above = above.selectExpr("face", "level + 1 AS level", "i AS _pi", "j AS _pj")
+    small = counts.filter(~large | (F.col("level") == MAX_LEVEL)).selectExpr(*LEAF, "shiftright(i, 1) AS _pi", "shiftright(j, 1) AS _pj")
+    tops = small.join(above, ["face", "level", "_pi", "_pj"]).select(*LEAF).unionByName(small.filter("level = 0").select(*LEAF))
+    tops = stage(tops.select("level", pack("level").alias("cell")))
+    some = tops.agg(F.count(F.lit(1)), F.min("level"), F.max("level")).first()
+    each = points.select(*SITE, *fine_cell("_s")).withColumn("level", F.explode(F.sequence(F.lit(some[1]), F.lit(some[2]))))
+    each = each.withColumn("cell", pack("level", "face", *coarser("level")))
+    each = each.join(_few(tops.select("cell"), some[0]), "cell").withColumnRenamed("level", "_top").drop("cell")
+    each = each.withColumn("level", F.explode(F.sequence("_top", F.greatest("_top", F.lit(last)))))
+    group = pack("level", "face", *coarser("level")).alias("group")
+    mean = [F.avg(f"_s{a}").alias(f"_m{a}") for a in "xyz"]
+    found = each.groupBy(group, "_top").agg(F.collect_list(F.struct(*SITE)).alias("sites"), *mean)
+    middle = f"array_max(transform(sites, s -> struct({dot('_m', 's._s')} AS d, s._sx, s._sy, s._sz)))"
+    found = found.selectExpr("group", "_top", "sites", f"inline(array({middle}))").drop("d")
+    found = found.selectExpr("*", f"sqrt(array_max(transform(sites, s -> {chord_squared('_s', 's._s')}))) * (1 + 1e-9D) + 1e-12D AS _rho")
+    found = found.selectExpr(*unpacked("group"), "*")
+    return found.withColumns({"_from": F.when(F.col("level") == F.col("_top"), F.lit(first)).otherwise(F.col("level")), "_to": F.least("level", F.lit(last))}).drop("_top").filter("_from <= _to")
+
+
+def _wide(rho: str) -> str:
+    """SQL for the angle of a chord, rounded up."""
+    return f"(2 * asin(least(1D, {rho} / 2)) + 1e-12D)"
+
+
+def _pairs(leaves: DataFrame, groups: DataFrame) -> DataFrame:
+    """(leaf, group) for every group with a site within a leaf's reach; they meet in cells COARSE levels above the leaf's.
+
+    Cells are exploded on both sides, where Spark takes a table for as small as before.
+    """
     around = leaves.withColumn("_leaf", F.struct("face", "i", "j"))
     around = with_near_cells(around, "_c", "_reach", "_at").drop("_at")
-    spots = points.select(*SITE, *fine_cell("_s"))
-    first, last = (max(n - COARSE, 0) for n in levels)
-    spots = spots.withColumn("_at", F.explode(F.sequence(F.lit(first), F.lit(last))))
-    spots = spots.select(*SITE, pack("_at", "face", *coarser("_at")).alias("cell"))
-    met = around.join(spots, "cell").filter(f"{dot('_c', '_s')} >= cos(_reach) - 1e-15D")
-    return met.select("_leaf.face", "level", "_leaf.i", "_leaf.j", *SITE)
+    spots = groups.drop("sites").withColumnRenamed("level", "_level").withColumn("_at", F.explode(F.sequence("_from", "_to")))
+    up = (f"shiftright({c}, _level - _at)" for c in "ij")
+    spots = spots.select("group", "_sx", "_sy", "_sz", "_rho", pack("_at", "face", *up).alias("cell"))
+    near = f"{dot('_c', '_s')} >= cos(least(_reach + {_wide('_rho')}, pi())) - 1e-15D"
+    met = around.join(spots.hint("merge"), "cell").filter(near)
+    return met.select("_leaf.face", "level", "_leaf.i", "_leaf.j", "group", "_sx", "_sy", "_sz", "_rho")
+
+
+def _spelled_out(near: DataFrame, groups: DataFrame) -> DataFrame:
+    """(leaf, site) of the (leaf, group) pairs left, without the sites that are too far from the leaf's centre by ``_floor``."""
+    tasks = tasks_for(near, near.count() * GROUP_SITES, TASK_PAIRS >> 4)
+    near = near.select(*LEAF, "group", "_floor", *(F.expr(c).alias(f"_c{a}") for c, a in zip(centre("level"), "xyz")))
+    near = near.repartition(tasks, "group") if tasks else near
+    met = near.join(groups.select("group", "sites"), "group").selectExpr("*", "inline(sites)")
+    return met.filter(f"{dot('_c', '_s')} >= _floor").select(*LEAF, *SITE)
 
 
-def _pruned(pairs: DataFrame, k: int) -> DataFrame:
-    """Drops (leaf, site) pairs with k sites nearer all over the leaf.
+def _measured(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the leaf's half angle and ends and where the site lies, both in the face's own axes.
+
+    A generator, as Spark would otherwise work all of it out anew wherever a filter uses it.
+    """
+    c = centre("level")
+    made = {
+        "_dot": " + ".join(f"{x} * _s{a}" for x, a in zip(c, "xyz")),
+        "_h": half_angle_sql("level"),
+        "_o": "(1 - 2 * (face % 2)) * CASE WHEN face < 2 THEN _sx WHEN face < 4 THEN _sy ELSE _sz END",
+        "_p": "if(face < 2, _sy, _sx)",
+        "_q": "if(face < 4, _sz, _sy)",
+    }
+    made |= {f"_{e}{n}": f"(2D * {x} + {2 * n}) / shiftleft(1L, level) - 1" for x, e in (("i", "u"), ("j", "v")) for n in (0, 1)}
+    fields = ", ".join(f"'{name}', {value}" for name, value in made.items())
+    return pairs.selectExpr("*", f"inline_outer(array(named_struct({fields})))")
+
+
+def _pruned(pairs: DataFrame, k: int, kept: list[str] = SITE, rho: str | None = None) -> DataFrame:
+    """Drops (leaf, site) pairs with k sites nearer all over the leaf; adds the centre's ``_floor``.
 
     The nearest of each of k groups of sites makes k rivals, once for the leaf's centre
     and once for each corner. Those of the centre lie within some angle of it, so sites
@@ -207,32 +275,44 @@ def _pruned(pairs: DataFrame, k: int) -> DataFrame:
     of these points. Every point p of the leaf is a sum of its corners with weights
     above zero, so r is nearer to all of it than s when p.(r - s) > 0 at the corners.
     There p is (1, u, v) in the face's own axes.
+
+    With ``rho`` a row is a group of sites, known by its first column in ``kept``: a site
+    and the chord within which the others lie. It goes if all of them would: seen from p
+    at an angle t, p.s is no more than |p| w (sin t + w) above that of the site, w being
+    the chord's angle, and t is h at most above that of the centre.
     """
-    axes = [
-        "(1 - 2 * (face % 2)) * CASE WHEN face < 2 THEN _sx WHEN face < 4 THEN _sy ELSE _sz END AS _o",
-        "if(face < 2, _sy, _sx) AS _p", "if(face < 4, _sz, _sy) AS _q",
-    ]
-    side = "shiftleft(1L, level)"
-    ends = [f"(2D * {c} + {2 * n}) / {side} - 1 AS _{e}{n}" for c, e in (("i", "u"), ("j", "v")) for n in (0, 1)]
-    pairs = pairs.selectExpr("*", *[f"{c} AS _c{a}" for c, a in zip(centre("level"), "xyz")])
-    pairs = pairs.selectExpr("*", f"{dot('_c', '_s')} AS _dot", f"{half_angle_sql('level')} AS _h", *axes, *ends).drop("_cx", "_cy", "_cz")
-    group = F.expr(f"pmod(xxhash64(site_id), {k})").alias("_group")
     at = ["_dot", *(f"_o + {u} * _p + {v} * _q" for u in ("_u0", "_u1") for v in ("_v0", "_v1"))]
     # Column by column, so that it is a hash aggregate; all of them take the same row.
     nearest = [F.max_by(c, F.expr(at[n])).alias(f"{c}{n}") for n in range(len(at)) for c in ("_o", "_p", "_q")]
-    rivals = [F.collect_list(F.struct(*(F.col(f"_{c}{n}").alias(c) for c in "opq"))) for n in range(len(at))]
-    top = pairs.groupBy(*LEAF, group).agg(F.max("_dot").alias("_dot"), *nearest)
-    top = top.groupBy(*LEAF).agg(F.min("_dot").alias("_floor"), F.array(*rivals).alias("_rivals"))
-    # With fewer groups than k a leaf keeps all it has. 1e-7 covers rounding in acos.
+    across = [f"least(_{e}0 * ({{r}}{c} - _{c}), _{e}1 * ({{r}}{c} - _{c}))" for e, c in (("u", "p"), ("v", "q"))]
+    nearer = f"{{r}}o - _o + {' + '.join(across)} > _margin"
+    # 1e-7 covers rounding in acos.
     floor = f"cos(least(acos(least(_floor, 1D)) + 2 * {half_angle_sql('level')} + 1e-7D, pi())) - 1e-15D"
-    few = f"size(_rivals[0]) < {k}"
-    top = top.selectExpr(*LEAF, f"if({few}, null, _rivals) AS _rivals", f"if({few}, -2D, {floor}) AS _floor")
+    top = _measured(pairs)
+    if k == 1:  # in columns, as functions of arrays are interpreted
+        top = top.groupBy(*LEAF).agg(F.max("_dot").alias("_floor"), *nearest).withColumn("_floor", F.expr(floor))
+        beaten = " OR ".join(f"({nearer.format(r='_@')})".replace("_@o", f"_o{n}").replace("_@p", f"_p{n}").replace("_@q", f"_q{n}") for n in range(len(at)))
+    else:
+        rivals = [F.collect_list(F.struct(*(F.col(f"_{c}{n}").alias(c) for c in "opq"))) for n in range(len(at))]
+        top = top.groupBy(*LEAF, F.expr(f"pmod(xxhash64({kept[0]}), {k})").alias("_group")).agg(F.max("_dot").alias("_dot"), *nearest)
+        top = top.groupBy(*LEAF).agg(F.min("_dot").alias("_floor"), F.array(*rivals).alias("_rivals"))
+        # With fewer groups than k a leaf keeps all it has.
+        few = f"size(_rivals[0]) < {k}"
+        top = top.selectExpr(*LEAF, f"if({few}, null, _rivals) AS _rivals", f"if({few}, -2D, {floor}) AS _floor")
+        beaten = f"_rivals IS NOT NULL AND exists(_rivals, g -> forall(g, r -> {nearer.format(r='r.')}))"
     # The same difference of angles is less of a dot product near the site; 4e-15 covers rounding.
-    margin = f"2 * {_MARGIN}D * (_h + sqrt(greatest(0D, 2 - 2 * _dot))) + 4e-15D"
-    across = (f"least(_{e}0 * (r.{c} - _{c}), _{e}1 * (r.{c} - _{c}))" for e, c in (("u", "p"), ("v", "q")))
-    beaten = f"exists(_rivals, g -> forall(g, r -> r.o - _o + {' + '.join(across)} > _margin))"
-    near = pairs.join(top, LEAF).filter("_dot >= _floor").selectExpr("*", f"{margin} AS _margin")
-    return near.filter(f"_rivals IS NULL OR NOT {beaten}").select(*LEAF, *SITE)
+    margin = f"2 * {_MARGIN}D * (_h + sqrt(greatest(0D, 2 - 2 * _dot)) + {rho or '0D'}) + 4e-15D"
+    if rho:
+        longest = "sqrt(1 + greatest(_u0 * _u0, _u1 * _u1) + greatest(_v0 * _v0, _v1 * _v1))"
+        margin += f" + {longest} * {_wide(rho)} * least(1D, acos(least(1D, _dot)) + 1e-7D + _h + {_wide(rho)})"
+        inside = f"_dot >= cos(least(acos(least(1D, greatest(-1D, _floor))) + {_wide(rho)}, pi())) - 1e-15D OR _floor < -1"
+    else:
+        inside = "_dot >= _floor"
+    # What follows from leaf and site is worked out again behind the join, not carried through it. In a file the pairs
+    # are a small part of their size in memory: Spark would broadcast them.
+    near = _measured(pairs.join(top.hint("merge"), LEAF)).filter(inside)
+    near = near.selectExpr("*", f"inline_outer(array(named_struct('_margin', {margin})))")
+    return near.filter(f"NOT ({beaten})").select(*LEAF, *kept, "_floor")
 
 
 def _leaf_rows(pairs: DataFrame, per_row: int | None) -> DataFrame:
@@ -329,20 +409,25 @@ def _top_down(points: DataFrame, n: int, k: int, per_cell: int, per_row: int, ro
         fullness = seen.pairs / seen.full
 
 
-def _bottom_up(points: DataFrame, k: int, per_cell: int, per_row: int, per_leaf: int, root: str) -> _Built:
+def _bottom_up(points: DataFrame, k: int, per_cell: int, per_row: int, per_leaf: int, root: str, group_sites: int = GROUP_SITES) -> _Built:
     """Counts sites by fine cells; the leaves are the largest cells with few sites in them and beside them.
 
-    A leaf meets the sites of the cells around it, as far as a candidate can lie, and
-    those that k others beat all over the leaf are dropped. Leaves beside dense sites
+    A leaf meets groups of the sites around it, as far as a candidate can lie. Groups of
+    which k other sites beat all over the leaf are dropped, the rest is spelled out and
+    pruned again, site by site: a leaf far from many sites doesn't meet all of them. Leaves beside dense sites
     may still have more than ``per_cell`` candidates; they are cut CUTS times at most,
     children inherit only their parent's. So the number of jobs doesn't grow with the
     density.
     """
-    leaves = stage(_leaves(points, k, per_leaf), f"{root}/leaves")
+    leaves, counts = _leaves(points, k, per_leaf)
+    leaves = stage(leaves, f"{root}/leaves")
     depth = leaves.agg(F.min("level"), F.max("level")).first()
     points = points.repartition(points.sparkSession.sparkContext.defaultParallelism, "site_id")
-    met = stage(_pairs(leaves, points, depth), f"{root}/met")
-    pairs = stage(_pruned(met, k), f"{root}/pairs-0")
+    groups = stage(_groups(points, counts, depth, group_sites), f"{root}/groups")
+    seen = stage(_pairs(leaves, groups), f"{root}/seen")
+    near = stage(_pruned(seen, k, ["group"], "_rho"), f"{root}/near")
+    met = stage(_spelled_out(near, groups), f"{root}/met")
+    pairs = stage(_pruned(met, k).drop("_floor"), f"{root}/pairs-0")
     built, cut = _Built(), 0
     while True:
         counts = pairs.groupBy(*LEAF).agg(
@@ -371,7 +456,7 @@ def _bottom_up(points: DataFrame, k: int, per_cell: int, per_row: int, per_leaf:
             return built
         children = with_child_cells(rest, CUT_LEVELS).withColumn("level", F.col("level") + CUT_LEVELS)
         cut += 1
-        pairs = stage(_pruned(stage(children, f"{root}/met-{cut}"), k), f"{root}/pairs-{cut}")
+        pairs = stage(_pruned(stage(children, f"{root}/met-{cut}"), k).drop("_floor"), f"{root}/pairs-{cut}")
 
 
 def build_site_index(
@@ -411,7 +496,8 @@ def build_site_index(
         built.rows.append(_leaf_rows(points.withColumns({c: F.lit(0) for c in LEAF}), None))
     cells = stage(reduce(DataFrame.unionByName, built.rows), f"{root}/cells")
     inner = stage(_inner(cells.selectExpr(*unpacked("cell")).distinct()), f"{root}/inner")
-    inner_size = built.cells * ((1 << 2 * STRIDE) + 64)  # no more rows than leaves
+    inner_rows = inner.selectExpr(*unpacked("cell")).groupBy("level").count().collect()  # a row per STRIDE levels
+    inner_size = {r.level: r["count"] * ((1 << 2 * STRIDE) + 64) for r in inner_rows}
     return SiteIndex(cells, inner, tuple(sorted(set(built.levels))) or (0,), k, built.size, inner_size, built.split)
 
 
@@ -419,24 +505,31 @@ def _with_leaf(spots: DataFrame, index: SiteIndex, broadcast_bytes: int) -> Data
     """``spots`` (with unit vector ``_e``) with the ``cell`` of the leaf they lie in.
 
     The leaf's level is read off the map of inner cells, STRIDE levels at a time: one
-    join with one key for each row, no row more. A map too large to broadcast is left
-    aside, and a row gets a key for every level that leaves have.
+    join with one key for each row, no row more. From the level on at which the map is too
+    large to broadcast, it is left aside, and a row in cells that deep gets a key for
+    every level that leaves have there.
     """
     kept, spots = spots.columns, spots.select("*", *fine_cell("_e"))
     if len(index.levels) == 1:
         return spots.select(*kept, pack(str(index.levels[0]), "face", *coarser(str(index.levels[0]))).alias("cell"))
-    if index.inner_size > broadcast_bytes:
-        keys = [pack(str(n), "face", *coarser(str(n))) for n in index.levels]
-        return spots.select(*kept, F.explode(F.array(*keys)).alias("cell"))
     spots = spots.withColumn("_level", F.lit(-1).cast("byte"))
+    size, deep = 0, list(index.levels)
     for base in range(0, max(index.levels), STRIDE):
+        size += index.inner_size.get(base, 0)
+        if size > broadcast_bytes:
+            break
         at = [f"shiftright({c}, {MAX_LEVEL - base - STRIDE}) % {1 << STRIDE}" for c in "ij"]
         spots = spots.withColumn("_key", F.when(F.col("_level") < 0, pack(str(base), "face", *coarser(str(base)))))
-        down = index.inner.select(F.col("cell").alias("_key"), F.col("levels").alias("_down"))
+        down = index.inner.filter(f"cell div {1 << 2 * MAX_LEVEL} % 32 = {base}").select(F.col("cell").alias("_key"), F.col("levels").alias("_down"))
         level = f"if(_level < 0, get(_down, cast({at[0]} * {1 << STRIDE} + {at[1]} AS int)), _level)"
         spots = spots.join(F.broadcast(down), "_key", "left").selectExpr(*kept, "face", "i", "j", f"{level} AS _level")
+        deep = [n for n in deep if n > base + STRIDE]
     level = "cast(_level AS int)"
-    return spots.select(*kept, pack(level, "face", *coarser(level)).alias("cell"))
+    cell = pack(level, "face", *coarser(level))
+    if deep:
+        keys = F.array(*(pack(str(n), "face", *coarser(str(n))) for n in deep))
+        cell = F.explode(F.when(F.col("_level") < 0, keys).otherwise(F.array(cell)))
+    return spots.select(*kept, cell.alias("cell"))
 
 
 def rank_sites(

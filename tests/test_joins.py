@@ -4,10 +4,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from faultline.functions.geo import HALF_CIRCUMFERENCE_KM, haversine_km
+from faultline.functions.geo import HALF_CIRCUMFERENCE_KM, haversine_km, with_unit_vector
 from faultline.operators.distance_join import proximity, within_distance
 from faultline.operators.hotkeys import salted_join
-from faultline.operators.nearest import SiteIndex, build_site_index, nearest_site, rank_sites
+from faultline.operators.nearest import SiteIndex, _with_leaf, build_site_index, nearest_site, rank_sites
 
 SITE = "site_id int, site_lat double, site_lon double"
 EVENT = "event_id int, lat double, lon double"
@@ -239,3 +239,31 @@ def test_tasks_grow_with_the_pairs(spark, world, strategy, tmp_path):
     assert len(tasks) > 10 and max(t["count"] for t in tasks) <= 12_000
     e, s, brute = world
     assert found(within_distance(e, s, 5000.0, strategy, task_pairs=50)) == {p for p, d in brute.items() if d < 5000.0}
+
+
+def test_leaves_far_from_a_cluster_do_not_meet_all_its_sites(spark, tmp_path):
+    """Pairs of a leaf and a site are written before they are pruned one by one; groups of sites are pruned before that."""
+    rng = random.Random(12)
+    spots = [(rng.uniform(-80, 80), rng.uniform(-180, 180)) for _ in range(3)]
+    sites = [(i, spots[i % 3][0] + rng.random() / 10, spots[i % 3][1] + rng.random() / 10) for i in range(1500)]
+    build_site_index(spark.createDataFrame(sites, SITE), few_sites=0, path=f"{tmp_path}/index")
+    assert spark.read.parquet(f"{tmp_path}/index/met").count() <= 150 * len(sites)
+
+
+def test_a_map_too_large_costs_keys_only_where_leaves_are_deep(spark):
+    """Of the map of inner cells as many levels are broadcast as fit; events beside the deepest ones keep one key."""
+    rng = random.Random(13)
+    spot = 40.02, 60.02
+    sites = [(i, spot[0] + rng.random() / 10, spot[1] + rng.random() / 10) for i in range(400)]
+    index = build_site_index(spark.createDataFrame(sites, SITE), few_sites=0)
+    places = [*spread(rng, 40), *((spot[0] + rng.random() / 10, spot[1] + rng.random() / 10) for _ in range(40))]
+    e = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], EVENT)
+    want = {r.event_id: r.site_id for r in nearest_site(e, index).collect()}
+    sizes = [index.inner_size[n] for n in sorted(index.inner_size)]
+    deepest = sorted(index.inner_size)[-1]
+    for limit in (0, sum(sizes[:-1]), sum(sizes)):
+        assert {r.event_id: r.site_id for r in nearest_site(e, index, strategy="grid", broadcast_bytes=limit).collect()} == want
+    spots = with_unit_vector(e, "lat", "lon", "_e")
+    keys = _with_leaf(spots, index, sum(sizes[:-1])).groupBy("event_id").count().collect()
+    assert all(r["count"] == 1 for r in keys if r.event_id < 30)
+    assert max(r["count"] for r in keys) == len([n for n in index.levels if n > deepest])
